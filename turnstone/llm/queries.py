@@ -24,6 +24,12 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_read(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"), 4096)
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from turnstone.llm.language_id import identify
+
+    return identify(_read(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from turnstone.llm.quality import quality_rules
 
@@ -50,6 +56,18 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(_read(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op3_quality_rules, op4_media_columns, op5_packing)}
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from turnstone.llm.simhash import near_duplicates
+
+    return near_duplicates(_read(spark, sf_dir, "documents"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from turnstone.llm.warc import archived
+
+    return archived(_read(spark, sf_dir, "pages"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_language_id, op3_quality_rules, op4_media_columns, op5_packing, op7_simhash, op8_warc)}
 
 ORACLES: dict[str, str] = {}
