@@ -56,6 +56,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(_read(spark, sf_dir, "documents"))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from turnstone.llm.lm_scoring import score
+
+    return score(_read(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from turnstone.llm.simhash import near_duplicates
 
@@ -74,6 +80,6 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats(_read(spark, sf_dir, "documents"), 20).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_language_id, op3_quality_rules, op4_media_columns, op5_packing, op7_simhash, op8_warc, op10_substring_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_language_id, op3_quality_rules, op4_media_columns, op5_packing, op6_lm_scoring, op7_simhash, op8_warc, op10_substring_dedup)}
 
 ORACLES: dict[str, str] = {}
