@@ -59,6 +59,12 @@ class Scratch:
         df.write.option("compression", compression).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def save_by(self, df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+        """A table bucketed by ``key``, whose rows are large and compressed: joins on it move only the other side."""
+        table = f"turnstone_{uuid.uuid4().hex}"
+        df.write.option("compression", "none").option("path", f"{self.base}/{name}").bucketBy(min(buckets, 50_000), key).saveAsTable(table)
+        return self.spark.table(table)
+
     def drop(self, *names: str) -> None:
         jvm = self.spark.sparkContext._jvm
         for name in names:

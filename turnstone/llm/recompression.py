@@ -127,10 +127,14 @@ class Block:
         self.names = hashes[np.concatenate(parts)] if parts else np.zeros(0, np.uint64)
         self.doc_of = np.repeat(np.arange(len(lengths), dtype=np.int32), self.lengths)
 
-    def digests(self, places: np.ndarray, window: int) -> np.ndarray:
-        """96-bit digests of the windows at these words, as sortable structures."""
-        out = np.empty(len(places), [("a", "<u8"), ("b", "<u4")])
-        for field, start in (("a", self.names), ("b", self.names * _K[2] ^ self.names >> np.uint64(17))):
+    def digests(self, places: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+        """96-bit digests of the windows at these words, in two parts."""
+        held = np.zeros(len(self.lengths), bool)
+        held[self.doc_of[places]] = True
+        own = held[self.doc_of]
+        names, places = self.names[own], (np.cumsum(own) - 1)[places]
+        out = []
+        for start in (names, names * _K[2] ^ names >> np.uint64(17)):
             powers, size = {1: start}, 1
             while 2 * size <= window:
                 h = powers[size]
@@ -144,14 +148,28 @@ class Block:
                     part = powers[size][places + at]
                     value = part if value is None else join_names(value, part)
                     at, rest = at + size, rest - size
-            out[field] = value if field == "a" else value >> np.uint64(32)
-        return out
+            out.append(value)
+        return out[0], (out[1] >> np.uint64(32)).astype(np.uint32)
 
 
-def first_of_each(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys, each one's first place, and every place's number among the distinct ones."""
-    distinct, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
-    return distinct, first, inverse.reshape(-1)
+def first_of_each(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs in order, each one's first place, and every place's number among the distinct ones."""
+    order = np.argsort(a, kind="stable")
+    new = np.ones(len(a), bool)
+    same = a[order[1:]] == a[order[:-1]]
+    if (b[order[1:]] != b[order[:-1]])[same].any():
+        order = np.lexsort((b, a))
+        same = a[order[1:]] == a[order[:-1]]
+    new[1:] = ~(same & (b[order[1:]] == b[order[:-1]]))
+    first = order[new]
+    number = np.empty(len(a), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return a[first], b[first], first, number
+
+
+def covered(begin: np.ndarray, end: np.ndarray, n: int) -> np.ndarray:
+    """True where one of the spans [begin, end) lies."""
+    return np.cumsum(np.bincount(begin, minlength=n + 1)[:n] - np.bincount(end, minlength=n + 1)[:n]) > 0
 
 
 def bucket_of(keys: np.ndarray, n: int) -> np.ndarray:
@@ -240,7 +258,7 @@ def _spread(keys: np.ndarray, n: int, replies: list[dict] | None) -> np.ndarray:
 def marked(docs: DataFrame, window: int, doc_id: str, text: str, finish, schema) -> DataFrame:
     """Runs the rounds; ``finish(batch, order, removed masks)`` turns each block's rows into result batches."""
     scratch, n = Scratch(docs.sparkSession, "recompression"), bucket_count(docs)
-    blocks = scratch.save(stored_blocks(docs, text, BLOCK), "blocks", "none")
+    blocks = scratch.save_by(stored_blocks(docs, text, BLOCK), "blocks", "block", n)
 
     def names(batches):
         for batch in batches:
@@ -266,25 +284,21 @@ def marked(docs: DataFrame, window: int, doc_id: str, text: str, finish, schema)
                 name, start, end = chains(b.names, b.doc_of, window)
                 keys, inverse, times = np.unique(name, return_inverse=True, return_counts=True)
                 hit = ((times > 1) | _spread(keys, n, batch.column(2)[k].as_py()))[inverse.reshape(-1)]
-                edge = np.zeros(len(b.names) + 1, np.int32)
                 own = b.doc_of[start[hit]]
                 low = np.maximum(end[hit] - window, (b.ends - b.lengths)[own])
                 high = np.minimum(start[hit], b.ends[own] - window)
                 fits = low <= high
-                np.add.at(edge, low[fits], 1)
-                np.add.at(edge, high[fits] + 1, -1)
-                places = np.flatnonzero(np.cumsum(edge[:-1]))
-                out = [("places", block, [(-1, pack(np.diff(places, prepend=0).astype(np.uint32)))])]
+                places = np.flatnonzero(covered(low[fits], high[fits] + 1, len(b.names)))
                 if len(places):
-                    digests, first, _ = first_of_each(b.digests(places, window))
+                    # Goes through the exchange to a group of its own and comes back as it is.
+                    yield _rows("places", block, [(-1 - block % n, pack(np.diff(places, prepend=0).astype(np.uint32)))])
+                    a, c, first, _ = first_of_each(*b.digests(places, window))
                     owner = np.array([(1 << 63) - 1 if i is None else i for i in b.ids], np.int64)[b.doc_of[places[first]]]
-                    out.append(("windows", block, [(at, pack(np.diff(digests["a"][part], prepend=np.uint64(0)), digests["b"][part], owner[part])) for at, part in _dealt(digests["a"], n)]))
-                for row in out:
-                    yield _rows(*row)
-
-    tried = scratch.save(_joined(blocks, found).select("block", "data", "replies").mapInArrow(candidates, ROWS), "candidates", "none")
+                    yield _rows("windows", block, [(at, pack(np.diff(a[part], prepend=np.uint64(0)), c[part], owner[part])) for at, part in _dealt(a, n)])
 
     def earlier(rows: pa.Table) -> pa.Table:
+        if rows["bucket"][0].as_py() < 0:
+            return rows
         sent = [unpack(x) for x in rows["data"].to_pylist()]
         block = np.repeat(rows["block"].to_numpy(), [len(x[1]) for x in sent])
         a = np.concatenate([np.cumsum(x[0], dtype=np.uint64) for x in sent])
@@ -295,8 +309,8 @@ def marked(docs: DataFrame, window: int, doc_id: str, text: str, finish, schema)
         parts = np.split(late, np.cumsum([len(x[1]) for x in sent])[:-1])
         return pa.table({"block": rows["block"], "bucket": rows["bucket"], "data": pa.array([bits(p) for p in parts], pa.binary())})
 
-    late = tried.where("kind = 'windows'").select("block", "bucket", "data").groupBy("bucket").applyInArrow(earlier, REPLIES)
-    replies = tried.where("kind = 'places'").select("block", "bucket", "data").union(late)
+    tried = _joined(blocks, found).select("block", "data", "replies").mapInArrow(candidates, ROWS)
+    replies = tried.select("block", "bucket", "data").groupBy("bucket").applyInArrow(earlier, REPLIES)
 
     def remove(batches):
         for batch in batches:
@@ -305,17 +319,14 @@ def marked(docs: DataFrame, window: int, doc_id: str, text: str, finish, schema)
                 b = Block(rows, text, doc_id)
                 got = batch.column(2)[k].as_py() or []
                 places = next((np.cumsum(unpack(r["reply"])[0], dtype=np.int64) for r in got if r["bucket"] < 0), np.zeros(0, np.int64))
-                edge = np.zeros(len(b.names) + 1, np.int32)
+                removed = np.zeros(len(b.names), bool)
                 if len(places):
-                    digests, first, inverse = first_of_each(b.digests(places, window))
-                    elsewhere = _spread(digests["a"], n, [r for r in got if r["bucket"] >= 0])
-                    repeat = elsewhere[inverse]
+                    a, _, first, number = first_of_each(*b.digests(places, window))
+                    repeat = _spread(a, n, [r for r in got if r["bucket"] >= 0])[number]
                     later = np.ones(len(places), bool)
                     later[first] = False
                     gone = places[repeat | later]
-                    np.add.at(edge, gone, 1)
-                    np.add.at(edge, gone + window, -1)
-                removed = np.cumsum(edge[:-1]) > 0
+                    removed = covered(gone, gone + window, len(b.names))
                 masks: list = [None] * len(b.order)
                 for place, m in zip(b.order, np.split(removed, b.ends[:-1])):
                     masks[place] = m
