@@ -74,12 +74,18 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived(_read(spark, sf_dir, "pages"))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from turnstone.llm.mixing import rates
+
+    return rates(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from turnstone.llm.recompression import repeats
 
     return repeats(_read(spark, sf_dir, "documents"), 20).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_language_id, op3_quality_rules, op4_media_columns, op5_packing, op6_lm_scoring, op7_simhash, op8_warc, op10_substring_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_language_id, op3_quality_rules, op4_media_columns, op5_packing, op6_lm_scoring, op7_simhash, op8_warc, op9_mixing, op10_substring_dedup)}
 
 ORACLES: dict[str, str] = {}
