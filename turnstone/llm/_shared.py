@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text gathered before a block is closed; one longer text is a block of its own.
@@ -82,6 +82,15 @@ def bucket_count(df: DataFrame) -> int:
     return max(MIN_BUCKETS, min(1 << 20, stored_bytes(df) // BUCKET_BYTES))
 
 
+def filtered(df: DataFrame, condition: Column) -> DataFrame:
+    """Rows that meet a condition on computed columns.
+
+    Pushed below the projection, the condition would hold a copy of a column's whole
+    expression for each mention; a projection with a row number holds it back.
+    """
+    return df.withColumn("_q_number", F.monotonically_increasing_id()).where(condition & (F.col("_q_number") >= 0))
+
+
 # --- packed arrays ---------------------------------------------------------
 
 

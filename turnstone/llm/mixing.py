@@ -31,7 +31,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnstone.llm._shared import Scratch
+from turnstone.llm._shared import Scratch, filtered
 from turnstone.llm.quality import measures
 
 LABELLED_LIMIT = 20_000
@@ -156,25 +156,26 @@ def fitted(table: DataFrame, columns: list[str], targets: dict[str, float], budg
     Without a ``budget`` (total tokens) it is as large as the domain with the largest
     target allows at rate 1.
     """
-    pairs = [(a, b) for k, a in enumerate(columns) for b in columns[k:]]
-    sums = table.agg(*[F.sum(F.col("n_tokens") * F.col(c)).alias(c) for c in columns], *[F.sum(F.col("n_tokens") * F.col(c) * F.col(c)).alias(f"g_{c}") for c in columns]).first()
-    held = {c: float(sums[c] or 0.0) for c in columns}
+    sums = table.agg(*[F.sum(F.col("n_tokens") * F.col(c)).alias(f"sum_{c}") for c in columns], *[F.sum(F.col("n_tokens") * F.col(c) * F.col(c)).alias(f"gram_{c}") for c in columns]).first()
+    held = {c: float(sums[f"sum_{c}"] or 0.0) for c in columns}
     weight = {c: float(targets.get(c.removeprefix("p_"), 0.0)) for c in columns}
     if columns == ["p_all"] or not any(weight.values()) or not any(held.values()):
-        return F.lit(1.0), {"held": held, "pairs": len(pairs)}
+        return F.lit(1.0), {"held": held}
     total = sum(weight.values())
     lead = max((c for c in columns if held[c] > 0), key=lambda c: weight[c])
     budget = budget if budget is not None else held[lead] * total / weight[lead] if weight[lead] else sum(held.values())
     aim = {c: budget * weight[c] / total for c in columns}
     live = [c for c in columns if held[c] > 0]
-    step = 1 / sum(float(sums[f"g_{c}"]) / held[c] for c in live)
-    rate, reached, k = F.lit(1.0), dict(held), 0
+    step = 1 / sum(float(sums[f"gram_{c}"]) / held[c] for c in live)
+    rate, reached, k, slopes = F.lit(1.0), dict(held), 0, []
     while k < STEPS and max(abs(reached[c] - aim[c]) for c in live) > CLOSE * budget:
         k += 1
-        slope = reduce(lambda a, b: a + b, [F.col(c) * F.lit((reached[c] - aim[c]) / held[c]) for c in live])
-        rate = F.greatest(F.lit(0.0), rate - F.lit(step) * slope)
-        got = table.agg(*[F.sum(rate * F.col("n_tokens") * F.col(c)).alias(c) for c in live]).first()
-        reached = {c: float(got[c]) for c in live}
+        slopes.append([step * (reached[c] - aim[c]) / held[c] for c in live])
+        # One expression over all steps so far, which mentions each posterior once.
+        steps = F.array(*[F.array(*[F.lit(x) for x in s]) for s in slopes])
+        rate = F.aggregate(steps, F.lit(1.0), lambda r, s: F.greatest(F.lit(0.0), r - reduce(lambda a, b: a + b, [F.col(c) * s[j] for j, c in enumerate(live)])))
+        got = table.agg(*[F.sum(rate * F.col("n_tokens") * F.col(c)).alias(f"sum_{c}") for c in live]).first()
+        reached = {c: float(got[f"sum_{c}"]) for c in live}
     return rate, {"held": held, "aim": aim, "reached": reached, "steps": k}
 
 
@@ -196,4 +197,4 @@ def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float], labelle
     judged = model.posteriors(measures(docs.select(row, F.col("text"))).withColumns(shape_columns())).select("_q_row", F.col("n_words").alias("n_tokens"), *model.columns())
     table = scratch.save(judged.select("n_tokens", *model.columns()), "posteriors")
     rate, _ = fitted(table, model.columns(), targets)
-    return judged.where(rate >= 0.5).select("_q_row.*")
+    return filtered(judged, rate >= 0.5).select("_q_row.*")

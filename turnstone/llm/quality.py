@@ -24,6 +24,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from turnstone.llm._shared import filtered
+
 SPACE = "[\\x20\\x09-\\x0D]"
 WORD = "[^\\x20\\x09-\\x0D]"
 BLANKS = "concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))"
@@ -140,4 +142,4 @@ def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "tex
     """The rows of ``docs`` that meet the rules, with their own columns."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_q_row")
     df = measures(docs.select(row, F.col(text)), text)
-    return df.where(verdict(rules)).select("_q_row.*")
+    return filtered(df, verdict(rules)).select("_q_row.*")
