@@ -82,13 +82,14 @@ def bucket_count(df: DataFrame) -> int:
     return max(MIN_BUCKETS, min(1 << 20, stored_bytes(df) // BUCKET_BYTES))
 
 
-def filtered(df: DataFrame, condition: Column) -> DataFrame:
-    """Rows that meet a condition on computed columns.
+def held_back(df: DataFrame, keep: list[str], computed: dict[str, Column]) -> DataFrame:
+    """Columns ``keep`` and ``computed``, the latter through a generator of one row.
 
-    Pushed below the projection, the condition would hold a copy of a column's whole
-    expression for each mention; a projection with a row number holds it back.
+    The optimizer pushes no filter below a generator whose output it mentions, so later
+    conditions read the computed columns instead of repeating their expressions.
     """
-    return df.withColumn("_q_number", F.monotonically_increasing_id()).where(condition & (F.col("_q_number") >= 0))
+    row = F.explode(F.array(F.struct(*[c.alias(n) for n, c in computed.items()]))).alias("_q_computed")
+    return df.select(*[F.col(f"`{c}`") for c in keep], row).select(*[F.col(f"`{c}`") for c in keep], "_q_computed.*")
 
 
 # --- packed arrays ---------------------------------------------------------

@@ -31,7 +31,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnstone.llm._shared import Scratch, filtered
+from turnstone.llm._shared import Scratch, held_back
 from turnstone.llm.quality import measures
 
 LABELLED_LIMIT = 20_000
@@ -76,8 +76,11 @@ def shape_columns() -> dict[str, Column]:
 LEAST_SPREAD = {"f_symbols": 0.3, "f_exclaimed": 0.3, "f_upper": 0.05, "f_letters": 0.05, "f_length": 0.5, "f_repeated": 0.1}
 
 
-def described(docs: DataFrame, *keep: str) -> DataFrame:
-    return measures(docs.select(*keep, "text")).withColumns(shape_columns())
+NEEDED = ("n_words", "word_chars", "n_symbols", "n_exclaimed", "n_upper", "n_letters", "n_dup_lines", "n_lines")
+
+
+def described(docs: DataFrame, *keep: str | Column) -> DataFrame:
+    return measures(docs.select(*keep, "text"), only=NEEDED).withColumns(shape_columns())
 
 
 class Classifier:
@@ -118,9 +121,9 @@ class Classifier:
         """``df`` (from ``described``) with p_<domain>."""
         if not self.domains:
             return df.withColumn("p_all", F.lit(1.0))
-        plain = F.lower("_q_text")
-        df = df.withColumn("_q_plain", plain)
-        df = df.withColumns({f"_q_hit_{k}": F.col("_q_plain").rlike(_any_of(w)) for k, w in enumerate(self.typical.values())})
+        columns = df.columns
+        df = df.withColumn("_q_plain", plain_words())
+        df = df.withColumns({f"_q_hit_{k}": F.arrays_overlap("_q_plain", self._words(w)) for k, w in enumerate(self.typical.values())})
         logs = {}
         for n, kind in enumerate(self.stats):
             out = F.lit(math.log(self.prior[kind]))
@@ -137,19 +140,12 @@ class Classifier:
         df = df.withColumn("_q_most", most).withColumns({f"_q_e_{k}": F.exp(F.col(f"_q_log_{k}") - F.col("_q_most")) for k in range(len(logs))})
         add = lambda own: reduce(lambda a, b: a + b, own)
         total = add([F.col(f"_q_e_{k}") for k in range(len(logs))])
-        return df.withColumns({f"p_{d}": add([F.col(f"_q_e_{k}") for k, kind in enumerate(self.stats) if self.domain_of[kind] == d]) / total for d in self.domains})
+        return held_back(df, columns, {f"p_{d}": add([F.col(f"_q_e_{k}") for k, kind in enumerate(self.stats) if self.domain_of[kind] == d]) / total for d in self.domains})
 
     def columns(self) -> list[str]:
         return [f"p_{d}" for d in self.domains] or ["p_all"]
 
 
-def _any_of(words: list[str]) -> str:
-    """A pattern for texts that hold one of the words between blanks or marks."""
-    plain = "|".join("\\Q" + w.replace("\\E", "\\E\\\\E\\Q") + "\\E" for w in words)
-    edge = "\\x20\\x09-\\x0D.,;:!?\"'()\\[\\]"
-    return f"(?<![^{edge}])(?:{plain})(?![^{edge}])"
-
-
 def fitted(table: DataFrame, columns: list[str], targets: dict[str, float], budget: float | None = None) -> tuple[Column, dict]:
     """The rate as an expression over tokens and posteriors, and what the fit came to.
 
@@ -194,7 +190,7 @@ def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float], labelle
     scratch = Scratch(docs.sparkSession, "mixing")
     model = Classifier(docs, kinds_of(labels), DOMAIN_OF, labelled_limit, scratch)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_q_row")
-    judged = model.posteriors(measures(docs.select(row, F.col("text"))).withColumns(shape_columns())).select("_q_row", F.col("n_words").alias("n_tokens"), *model.columns())
+    judged = model.posteriors(described(docs, row)).select("_q_row", F.col("n_words").alias("n_tokens"), *model.columns())
     table = scratch.save(judged.select("n_tokens", *model.columns()), "posteriors")
     rate, _ = fitted(table, model.columns(), targets)
-    return filtered(judged, rate >= 0.5).select("_q_row.*")
+    return judged.where(rate >= 0.5).select("_q_row.*")

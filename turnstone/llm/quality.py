@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnstone.llm._shared import filtered
+from turnstone.llm._shared import held_back
 
 SPACE = "[\\x20\\x09-\\x0D]"
 WORD = "[^\\x20\\x09-\\x0D]"
@@ -78,8 +78,13 @@ def lines(text: Column) -> Column:
     return F.filter(F.split(text, "\n"), lambda x: F.length(F.trim(x, F.expr(BLANKS))) > 0)
 
 
-def measures(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with its measures; helper columns begin with ``_q_``."""
+def measures(df: DataFrame, text: str = "text", only: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` with its measures (``only`` some); helper columns begin with ``_q_``.
+
+    The measures come out of a generator of one row, through which no filter is pushed:
+    below it, each mention of a measure would be a copy of its whole expression.
+    """
+    columns = df.columns
     t = F.coalesce(F.col(text), F.lit(""))
     df = df.withColumn("_q_text", t)
     df = df.withColumns({"_q_words": words(F.col("_q_text")), "_q_lines": lines(F.col("_q_text"))})
@@ -99,23 +104,22 @@ def measures(df: DataFrame, text: str = "text") -> DataFrame:
     )
     long = lambda c: c.cast("long")
     count = lambda pattern: long(F.regexp_count("_q_text", F.lit(pattern)))
-    return df.withColumns(
-        {
-            "n_words": long(n),
-            "word_chars": long(F.length(F.array_join("_q_words", ""))),
-            "n_symbols": count("[#*$%&|<>]"),
-            "n_dup_lines": long(F.size("_q_lines") - F.size(F.array_distinct("_q_lines"))),
-            "n_repeat_words": long(F.coalesce(F.size(F.array_distinct(F.flatten(F.transform("_q_places", lambda x: F.sequence(x["i"], x["i"] + WINDOW - 1))))), F.lit(0))),
-            "n_lines": long(F.size("_q_lines")),
-            "n_ellipsis_lines": long(F.size(F.filter("_q_lines", lambda x: x.rlike("(\\.\\.\\.|…)\\s*$")))),
-            "n_bullet_lines": long(F.size(F.filter("_q_lines", lambda x: x.rlike("^\\s*[-*•]")))),
-            "n_exclaimed": count("!"),
-            "n_upper": long(F.length("_q_text") - F.length(F.regexp_replace("_q_text", "\\p{Lu}+", ""))),
-            "n_letters": long(F.length("_q_text") - F.length(F.regexp_replace("_q_text", "\\p{L}+", ""))),
-            "n_stop_words": long(F.size(F.filter("_q_words", lambda w: w.isin(*dict.fromkeys(STOP_WORDS))))),
-            "n_long_words": long(F.when(n >= LONG, n).otherwise(0)),
-        }
-    )
+    found = {
+        "n_words": long(n),
+        "word_chars": long(F.length(F.array_join("_q_words", ""))),
+        "n_symbols": count("[#*$%&|<>]"),
+        "n_dup_lines": long(F.size("_q_lines") - F.size(F.array_distinct("_q_lines"))),
+        "n_repeat_words": long(F.coalesce(F.size(F.array_distinct(F.flatten(F.transform("_q_places", lambda x: F.sequence(x["i"], x["i"] + WINDOW - 1))))), F.lit(0))),
+        "n_lines": long(F.size("_q_lines")),
+        "n_ellipsis_lines": long(F.size(F.filter("_q_lines", lambda x: x.rlike("(\\.\\.\\.|…)\\s*$")))),
+        "n_bullet_lines": long(F.size(F.filter("_q_lines", lambda x: x.rlike("^\\s*[-*•]")))),
+        "n_exclaimed": count("!"),
+        "n_upper": long(F.length("_q_text") - F.length(F.regexp_replace("_q_text", "\\p{Lu}+", ""))),
+        "n_letters": long(F.length("_q_text") - F.length(F.regexp_replace("_q_text", "\\p{L}+", ""))),
+        "n_stop_words": long(F.size(F.filter("_q_words", lambda w: w.isin(*dict.fromkeys(STOP_WORDS))))),
+        "n_long_words": long(F.when(n >= LONG, n).otherwise(0)),
+    }
+    return held_back(df, [*columns, "_q_words"], {k: v for k, v in found.items() if not only or k in only})
 
 
 def verdict(rules: tuple[Rule, ...] = RULES) -> Column:
@@ -142,4 +146,4 @@ def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "tex
     """The rows of ``docs`` that meet the rules, with their own columns."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_q_row")
     df = measures(docs.select(row, F.col(text)), text)
-    return filtered(df, verdict(rules)).select("_q_row.*")
+    return df.where(verdict(rules)).select("_q_row.*")
