@@ -72,14 +72,19 @@ class Scratch:
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stored_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate: the files' size for a plain scan, without reading them."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+#: Estimates beyond this are Catalyst's way to say that a plan's size is not known.
+UNKNOWN_BYTES = 1 << 50
 
 
-def bucket_count(df: DataFrame) -> int:
+def stored_bytes(df: DataFrame, text: str = "text") -> int:
+    """The size of the files that a plan scans, without reading them; else its texts are added up."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size if size < UNKNOWN_BYTES else df.agg(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
+
+
+def bucket_count(df: DataFrame, text: str = "text") -> int:
     """Buckets in proportion to the input, so that one bucket's share stays small at every size."""
-    return max(MIN_BUCKETS, min(1 << 20, stored_bytes(df) // BUCKET_BYTES))
+    return max(MIN_BUCKETS, stored_bytes(df, text) // BUCKET_BYTES)
 
 
 def held_back(df: DataFrame, keep: list[str], computed: dict[str, Column]) -> DataFrame:

@@ -257,7 +257,7 @@ def _spread(keys: np.ndarray, n: int, replies: list[dict] | None) -> np.ndarray:
 
 def marked(docs: DataFrame, window: int, doc_id: str, text: str, finish, schema) -> DataFrame:
     """Runs the rounds; ``finish(batch, order, removed masks)`` turns each block's rows into result batches."""
-    scratch, n = Scratch(docs.sparkSession, "recompression"), bucket_count(docs)
+    scratch, n = Scratch(docs.sparkSession, "recompression"), bucket_count(docs, text)
     blocks = scratch.save_by(stored_blocks(docs, text, BLOCK), "blocks", "block", n)
 
     def names(batches):
