@@ -55,8 +55,9 @@ def first_given(name: Column) -> Column:
 
 def given_matches(a: Column, b: Column) -> Column:
     """Names (normalised) share a token, or one is the initials that begin the other."""
-    x, y = F.split(a, " "), F.split(b, " ")
-    short = F.forall(x, lambda t: F.length(F.replace(t, F.lit("."), F.lit(""))) == 1)
+    x = F.filter(F.split(F.translate(a, ".", " "), " "), lambda t: t != "")
+    y = F.filter(F.split(b, " "), lambda t: t != "")
+    short = F.forall(x, lambda t: F.length(t) == 1) & (F.size(x) > 0)
     heads = F.transform(x, lambda t: F.substring(t, 1, 1))
     return F.arrays_overlap(x, y) | (short & (heads == F.slice(initials(y), F.lit(1), F.size(x))))
 

@@ -45,25 +45,29 @@ def cascade_match(probes: DataFrame, targets: DataFrame, probe: str, key: str, t
     return reduce(DataFrame.unionByName, found)
 
 
-def fuzzy_match(probes: DataFrame, targets: DataFrame, probe: str, key: str, target: str, name: str, cutoff: float = 0.86) -> DataFrame:
-    """Names whose matching-blocks ratio reaches the cutoff, unique matches only.
+def close_names(left: DataFrame, right: DataFrame, a: str, b: str, cutoff: float = 0.86) -> DataFrame:
+    """Distinct pairs (a, b) of names whose matching-blocks ratio reaches the cutoff.
 
     Only distinct names are compared, and only pairs that can reach it: the ratio is at
     most twice the shorter length over both lengths, and names that reach 0.8 with three
     characters or more share two neighbouring ones.
     """
     grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 1, F.lit(1))), lambda k: F.substring(c, k, F.lit(2))))
-    own = probes.select(F.col(key).alias("_a")).where("length(_a) > 1").distinct()
-    others = targets.select(F.col(name).alias("_b")).where("length(_b) > 1").distinct()
+    own = left.select(F.col(a).alias("_a")).where("length(_a) > 1").distinct()
+    others = right.select(F.col(b).alias("_b")).where("length(_b) > 1").distinct()
     pairs = own.select("_a", F.explode(grams(F.col("_a"))).alias("_g")).join(others.select("_b", F.explode(grams(F.col("_b"))).alias("_g")), "_g")
     near = pairs.select("_a", "_b").distinct().where(F.least(F.length("_a"), F.length("_b")) * (2 - cutoff) >= F.greatest(F.length("_a"), F.length("_b")) * cutoff)
 
     @F.pandas_udf(T.DoubleType())
-    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)])
+    def ratio(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([difflib.SequenceMatcher(None, p, q).ratio() for p, q in zip(x, y)])
+
+    return near.where(ratio("_a", "_b") >= cutoff).select(F.col("_a").alias(a), F.col("_b").alias(b))
 
-    hits = near.withColumn("ratio", ratio("_a", "_b")).where(F.col("ratio") >= cutoff)
-    got = probes.select(probe, F.col(key).alias("_a")).join(hits, "_a").join(targets.select(target, F.col(name).alias("_b")), "_b")
+
+def fuzzy_match(probes: DataFrame, targets: DataFrame, probe: str, key: str, target: str, name: str, cutoff: float = 0.86) -> DataFrame:
+    """Names close to each other, unique matches only."""
+    got = probes.select(probe, key).join(close_names(probes, targets, key, name, cutoff), key).join(targets.select(target, name), name)
     return _unique(got, probe, target, "fuzzy")
 
 
