@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from turnstone.functions import taxonomy, text
-from turnstone.operators import containment, linkage, matching, relational, segmentation, temporal
+from turnstone.operators import containment, linkage, matching, relational, resolution, segmentation, temporal, verification
 from turnstone.sources import html
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -330,6 +330,30 @@ def learned_flags(spark, sf_dir):
     return linkage.learned_flags(docs, "source", "flag", "n_chars", 4, 0.6)
 
 
+_LABELS = "SELECT s_suppkey, s_name, CASE s_suppkey % 4 WHEN 0 THEN 'Varios señores' WHEN 1 THEN 'Sr. ' || s_name WHEN 2 THEN 'Sra.' || s_name || '.-' ELSE 'Sr. Presidente' END AS label FROM supplier"
+
+
+@query(f"""WITH l AS ({_LABELS}) SELECT DISTINCT label, CASE s_suppkey % 4 WHEN 0 THEN 'collective' WHEN 3 THEN 'office_only' ELSE 'matched_senator' END AS match_status,
+CASE WHEN s_suppkey % 4 IN (1, 2) THEN 'p' || s_suppkey END AS person_id, CASE WHEN s_suppkey % 4 IN (1, 2) THEN 'n' || s_nationkey END AS province FROM l JOIN supplier USING (s_suppkey)""")
+def resolve_labels(spark, sf_dir):
+    suppliers = table(spark, sf_dir, "supplier")
+    day = F.lit("2010-05-01").cast("date")
+    printed = spark.sql(_LABELS.replace("FROM supplier", "FROM {supplier}"), supplier=suppliers)
+    printed = printed.select("label", day.alias("day"), F.lit("ORDINARIA").alias("session_type"), F.lit(None).cast("array<string>").alias("presiding"))
+    nothing = F.lit(None).cast("string")
+    members = suppliers.select(F.concat(F.lit("p"), "s_suppkey").alias("person_id"), F.col("s_name").alias("surname"), F.lit("X").alias("given"), nothing.alias("party"), F.concat(F.lit("n"), "s_nationkey").alias("province"), day.alias("begin"), F.lit(None).cast("date").alias("end"), F.col("s_suppkey").alias("load_order"))
+    officers = table(spark, sf_dir, "nation").select(F.concat(F.lit("auth:"), "n_nationkey").alias("person_id"), F.col("n_name").alias("name"), F.array(text.resolver_key(F.col("n_name"))).alias("keys"), F.lit("secretaria").alias("role_stem"), F.lit("chamber").alias("category"), day.alias("begin"), F.lit(None).cast("date").alias("end"), F.lit(True).alias("curated"), F.col("n_nationkey").cast("long").alias("load_order"))
+    return resolution.resolve(printed, members, officers).select("label", "match_status", "person_id", "province")
+
+
+@query("""WITH f AS (SELECT sha256(text) AS passage, bool_and(role = 'user') AS u, bool_and(role = 'assistant') AS a, bool_and(role = 'system') AS s FROM conversations WHERE text IS NOT NULL GROUP BY 1)
+SELECT conv_id, turn, CASE WHEN CASE role WHEN 'user' THEN u WHEN 'assistant' THEN a ELSE s END THEN 'holds' ELSE 'several' END AS verdict FROM conversations JOIN f ON sha256(text) = passage""")
+def read_verdicts(spark, sf_dir):
+    talk = table(spark, sf_dir, "conversations").where("text IS NOT NULL").select("conv_id", "turn", "role", F.sha2("text", 256).alias("passage"))
+    found = talk.groupBy("passage").agg(F.collect_set("role").alias("found"))
+    return talk.join(found, "passage").select("conv_id", "turn", verification.verdict(F.col("role"), F.col("found")).alias("verdict"))
+
+
 # --- set operations ---------------------------------------------------------------
 
 
@@ -367,11 +391,11 @@ def count_reconcile(spark, sf_dir):
     return relational.reconcile(ours, table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("nation")), "nation")
 
 
-@query("""WITH a AS (SELECT lang, left(text, 4) AS head, count(*) AS x FROM documents WHERE doc_id % 2 = 0 GROUP BY ALL), b AS (SELECT lang, left(text, 4) AS head, count(*) AS y FROM documents WHERE doc_id % 2 = 1 GROUP BY ALL)
-SELECT lang, CAST(sum(least(x, y)) AS BIGINT) AS overlap FROM a JOIN b USING (lang, head) GROUP BY lang""")
+@query("""WITH a AS (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS x FROM orders GROUP BY ALL), b AS (SELECT CAST(l_shipdate AS DATE) AS day, count(*) AS y FROM lineitem GROUP BY ALL)
+SELECT year(day) AS year, CAST(sum(least(x, y)) AS BIGINT) AS overlap FROM a JOIN b USING (day) GROUP BY 1""")
 def multiset_overlap(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", F.substring("text", 1, 4).alias("head"))
-    return relational.multiset_overlap(docs.where("doc_id % 2 = 0"), docs.where("doc_id % 2 = 1"), ["head"], ["lang"])
+    days = lambda name, c: table(spark, sf_dir, name).select(_year(c).alias("year"), _day(c).alias("day"))
+    return relational.multiset_overlap(days("orders", "o_orderdate"), days("lineitem", "l_shipdate"), ["day"], ["year"])
 
 
 _RULE = "regexp_matches(text, '[#*$%&|]|!!')"
@@ -393,8 +417,9 @@ def agreement_of_readings(spark, sf_dir):
 
 @query()
 def max_matching(spark, sf_dir):
-    talk = table(spark, sf_dir, "conversations").select("conv_id", "role", F.substring(F.lower("text"), 1, 40).alias("opening"), "turn")
-    return matching.matched(talk, talk.where("turn < 4").withColumn("opening", F.substring("opening", 1, 20)), "conv_id", "role", "opening")
+    talk = table(spark, sf_dir, "conversations").select("conv_id", "role", F.lit("").alias("label"), F.lower("text").alias("opening"))
+    asks = F.col("role") == "user"
+    return matching.matched(talk.where(asks), talk.where(~asks | F.col("role").isNull()), "conv_id", "label", "opening")
 
 
 # --- containment -------------------------------------------------------------------
