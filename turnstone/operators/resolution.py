@@ -20,6 +20,7 @@ from turnstone.functions.taxonomy import first_given, given_matches, honorific_i
 from turnstone.functions.text import resolver_key
 from turnstone.operators.linkage import close_names
 from turnstone.operators.temporal import in_window
+from turnstone.session import cut
 
 PROBE = ["label", "day"]
 
@@ -160,10 +161,11 @@ def resolve(labels: DataFrame, mandates: DataFrame, officers: DataFrame, gender:
     kinds = kinds.withColumn("stem", L.role_stem(F.col("role"))).withColumn("asked_family", L.role_family(F.col("stem")))
     rows = labels.groupBy(*PROBE).agg(F.max("session_type").alias("session_type"), F.max_by("presiding", F.size("presiding")).alias("presiding"))
     probes = rows.join(kinds, rows["label"].eqNullSafe(kinds["label"])).drop(kinds["label"])
+    probes = cut(probes)
 
-    seats = settle(member_candidates(probes, mandates), gender)
+    seats = settle(cut(member_candidates(probes, mandates)), gender)
     seat = seats.groupBy(*PROBE).agg(F.max(F.when(F.col("chosen"), F.struct("person_id", "surname", "given", "party", "province", "tiebreak"))).alias("m"), F.count("*").alias("n_m"))
-    held = officer_candidates(probes, officers)
+    held = cut(officer_candidates(probes, officers))
     top = held.where("place = 1").select(*PROBE, F.struct("person_id", "name", "role_stem").alias("o"), F.col("n").alias("n_o"))
     chair = chairs_held(held.where("place = 1 AND shape = 'holder'"), mandates)
     sole = office_candidates(probes, officers).groupBy(*PROBE).agg(F.count("*").alias("n_s"), F.min(F.struct("load_order", "person_id", "name")).alias("s"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(app: str = "turnstone", **conf: str) -> SparkSession:
@@ -17,3 +19,12 @@ def session(app: str = "turnstone", **conf: str) -> SparkSession:
     for key, value in (defaults | conf).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` as a reliable checkpoint: what reads it several times computes it once, and plans stay small."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        root = df.sparkSession.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+        context.setCheckpointDir(root or "file://" + tempfile.mkdtemp(prefix="turnstone-"))
+    return df.checkpoint()
