@@ -39,9 +39,11 @@ MIN_BUCKETS = 48
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; a temporary one only where it is unset (tests)."""
+    """The folder that ``spark.checkpoint.dir`` names; where it is unset, a temporary one, on a local master only."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="turnstone-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")

@@ -5,11 +5,13 @@ family; then machines for each pair of the family's languages vote.  Features ar
 hashed byte pairs and triples of the lower-cased letters, as square roots of their
 shares, so that a text's length does not matter.
 
-Training takes a bounded, documented sample: about ``sample`` texts of each language,
-those whose hashed id is smallest in the range that its count asks for.  The model is
+Training takes a bounded, documented sample: at most ``sample`` texts of each language,
+those whose hash of id and text is smallest; equal rows count once.  The model is
 ``dimensions`` weights for each family and each pair within one, which bounds what is
 broadcast; prediction reads nothing but the text.
 
+A letter is a character of Unicode category L.
+
 Cases: null texts and texts without a letter are ``und`` with score 0; with no labelled
 text at all everything is ``und``; a single language needs no machine; texts that are equal get
 equal results; ties go to the language that sorts first; repeated rows give one result each; a null id stays null
@@ -19,12 +21,11 @@ result; long texts are read whole.
 
 from __future__ import annotations
 
-import re
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnstone.llm._shared import pack, texts, unpack
@@ -44,7 +45,6 @@ FAMILIES = {
 }
 FAMILY_OF = {code: family for family, codes in FAMILIES.items() for code in codes}
 DIMENSIONS, SAMPLE = 1 << 14, 300
-LETTER = re.compile(r"[^\W\d_]")
 #: Bytes that no word holds become spaces.
 PLAIN = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
@@ -54,6 +54,10 @@ def held_out(doc_id: Column, folds: int = 3, fold: int = 1) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds == fold, F.lit(False))
 
 
+def has_letter(text: str | None) -> bool:
+    return any(map(str.isalpha, text or ""))
+
+
 def family(lang: str) -> str:
     return FAMILY_OF.get(lang.lower().replace("_", "-").split("-")[0], f"only {lang}")
 
@@ -140,12 +144,18 @@ def certainty(margin: float) -> float:
 
 
 def training_sample(docs: DataFrame, sample: int) -> DataFrame:
-    """About ``sample`` texts of each language, chosen by hashed id; never those held out."""
-    own = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    sizes = own.groupBy("lang").agg(F.count("*").alias("n"))
-    bound = (F.lit(float(1 << 30)) * sample / F.col("n")).cast("long")
-    low = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    return own.where(F.col("text").isNotNull()).join(F.broadcast(sizes.select("lang", bound.alias("_bound"))), "lang").where(low < F.col("_bound")).select("doc_id", "text", "lang")
+    """The ``sample`` texts of each language with the smallest hashes; never those held out.
+
+    A range of hashes in which twice as many are expected is read first, so that what is sorted stays small
+    however large a language is.
+    """
+    own = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
+    own = own.select("doc_id", "text", "lang", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)).alias("_low"))
+    sizes = own.groupBy("lang").agg(F.approx_count_distinct("_low").alias("n"))
+    bound = (F.lit(float(1 << 40)) * (2 * sample + 40) / F.col("n")).cast("long")
+    near = own.join(F.broadcast(sizes.select("lang", bound.alias("_bound"))), "lang").where(F.col("_low") < F.col("_bound"))
+    once = near.groupBy("lang", "_low").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"))
+    return once.withColumn("_at", F.row_number().over(Window.partitionBy("lang").orderBy("_low"))).where(F.col("_at") <= sample).select("doc_id", "text", "lang")
 
 
 def train(docs: DataFrame, dimensions: int = DIMENSIONS, sample: int = SAMPLE) -> Model | None:
@@ -154,7 +164,7 @@ def train(docs: DataFrame, dimensions: int = DIMENSIONS, sample: int = SAMPLE) -
     def run(batches):
         for batch in batches:
             langs = batch.column(2).to_pylist()
-            rows = [(i, v, np.flatnonzero(n), n) for (i, t), v in zip(texts([batch]), langs) if t and LETTER.search(t) for n in [counts(t, dimensions)]]
+            rows = [(i, v, np.flatnonzero(n), n) for (i, t), v in zip(texts([batch]), langs) if has_letter(t) for n in [counts(t, dimensions)]]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows]), pa.array([pack(r[2].astype(np.uint32), r[3][r[2]].astype(np.uint32)) for r in rows], pa.binary())], ["doc_id", "lang", "data"])
 
@@ -175,7 +185,7 @@ def identify(docs: DataFrame, dimensions: int = DIMENSIONS, sample: int = SAMPLE
     def run(batches):
         m = model.value
         for batch in batches:
-            out = [m.predict(counts(t, dimensions)) if m and t and LETTER.search(t) else ("und", 0.0) for _, t in texts([batch])]
+            out = [m.predict(counts(t, dimensions)) if m and has_letter(t) else ("und", 0.0) for _, t in texts([batch])]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
 
     return docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")).mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")

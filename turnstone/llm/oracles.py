@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from turnstone.llm.quality import LONG, RULES, STOP_WORDS
+from turnstone.llm.quality import RULES, STOP_WORDS
 
 _SPLIT = "list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
 
@@ -11,7 +11,8 @@ def _verdict() -> str:
     out = []
     for r in RULES:
         unit = r.per or "1"
-        out += [f"{r.measure} >= {unit} * {r.least}::DOUBLE"] if r.least is not None else []
+        least = f"{unit} * {r.least}::DOUBLE"
+        out += [f"{r.measure} >= {f'floor({least})' if r.whole else least}"] if r.least is not None else []
         out += [f"{r.measure} <= {unit} * {r.most}::DOUBLE"] if r.most is not None else []
     return " AND ".join(out)
 
@@ -27,7 +28,7 @@ m AS (SELECT d.doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS wo
   len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, len(ls) AS n_lines,
   len(list_filter(ls, lambda x: regexp_matches(x, '(\\.\\.\\.|…)\\s*$'))) AS n_ellipsis_lines, len(list_filter(ls, lambda x: regexp_matches(x, '^\\s*[-*•]'))) AS n_bullet_lines,
   len(regexp_extract_all(t, '!')) AS n_exclaimed, length(t) - length(regexp_replace(t, '\\p{{Lu}}+', '', 'g')) AS n_upper, length(t) - length(regexp_replace(t, '\\p{{L}}+', '', 'g')) AS n_letters,
-  len(list_filter(ws, lambda x: x IN ({_STOP}))) AS n_stop_words, CASE WHEN len(ws) >= {LONG} THEN len(ws) ELSE 0 END AS n_long_words
+  len(list_filter(ws, lambda x: x IN ({_STOP}))) AS n_stop_words
   FROM d LEFT JOIN c ON d.doc_id = c.doc_id)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
   NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND {_verdict()} AS kept FROM m"""

@@ -3,16 +3,17 @@
 A document's ids, with the end id, are cut into whole sequences of the largest
 length and then into the powers of two of what is left, longest first.  Every
 piece is a sequence of its own: none crosses documents and none needs padding.
-Pieces of equal length form a bucket; a training batch takes sequences of one
-bucket.
+Pieces of equal length form a bucket.  Sequences are numbered bucket by bucket and
+lie in that order within what a task writes, so a training batch takes a range of
+numbers; ``save_buckets`` writes a folder for each bucket.
 
 Ids come from the tokenizer file at hand.  Words between single spaces are
 pre-token boundaries of its pattern, so each distinct word is encoded once per
 worker and looked up after that; texts with other white space, special strings or
 rare characters go through the tokenizer as a whole.
 
-``sequence_id`` is unique: the number of the piece's partition and its place in it,
-the same again if a task is repeated.
+``sequence_id`` is unique: the bucket, then the number of the piece's partition and its
+place in it, the same again if a task is repeated.
 
 Cases: null text counts as empty and gives the end id alone; repeated rows and
 repeated ids are packed each on its own; a null id stays null; other columns are
@@ -136,8 +137,21 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, ranks_path: str | None
             yield batch(out)
 
     def batch(rows):
-        d, s, n, i, t = zip(*rows)
+        d, s, n, i, t = zip(*sorted(rows, key=lambda r: -r[2]))
         return pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(s, pa.int64()), pa.array(n, pa.int64()), pa.array(i, pa.binary()), pa.array(t, pa.int64())], ["doc_id", "start", "length", "ids", "doc_tokens"])
 
     pieces = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, start long, length long, ids binary, doc_tokens long")
-    return pieces.withColumns({"bucket": F.log2("length").cast("int"), "sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
+    # A partition has 33 bits for its own numbers and 24 for its own place, which leaves six for the bucket.
+    bucket = F.round(F.log2("length")).cast("int")
+    number = F.monotonically_increasing_id()
+    return pieces.withColumn("bucket", bucket).withColumns({"sequence_id": F.shiftleft(F.col("bucket").cast("long"), 57).bitwiseOR(number), "offset": F.lit(0).cast("long")})
+
+
+def save_buckets(pieces: DataFrame, path: str) -> None:
+    """Writes pieces with a folder for each bucket, ``bucket=<log2 of the length>``."""
+    pieces.write.partitionBy("bucket").parquet(path)
+
+
+def batch_of(pieces: DataFrame, bucket: int, n: int, after: int = -1) -> DataFrame:
+    """The ``n`` sequences of one bucket that follow the number ``after``."""
+    return pieces.where((F.col("bucket") == bucket) & (F.col("sequence_id") > after)).orderBy("sequence_id").limit(n)

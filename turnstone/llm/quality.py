@@ -42,12 +42,16 @@ STOP_WORDS = (
 
 @dataclass(frozen=True)
 class Rule:
-    """A measure, per what it is counted (None: as it is), and the bounds that a kept text meets."""
+    """A measure, per what it is counted (None: as it is), and the bounds that a kept text meets.
+
+    ``whole`` rounds the least down to a whole number, so that few words are not asked for a fraction of one.
+    """
 
     measure: str
     per: str | None = None
     least: float | None = None
     most: float | None = None
+    whole: bool = False
 
 
 #: Ratios are multiplied out, so that no division by zero or rounding decides.
@@ -62,10 +66,8 @@ RULES = (
     Rule("n_dup_lines", "n_lines", None, 0.35),
     Rule("n_ellipsis_lines", "n_lines", None, 0.5),
     Rule("n_bullet_lines", "n_lines", None, 0.9),
-    Rule("n_stop_words", "n_long_words", 0.002, None),
+    Rule("n_stop_words", "n_words", 0.005, None, True),
 )
-#: Words from which on a text is long enough for its share of stop words to mean something.
-LONG = 200
 
 
 def words(text: Column) -> Column:
@@ -117,7 +119,6 @@ def measures(df: DataFrame, text: str = "text", only: tuple[str, ...] = ()) -> D
         "n_upper": long(F.length("_q_text") - F.length(F.regexp_replace("_q_text", "\\p{Lu}+", ""))),
         "n_letters": long(F.length("_q_text") - F.length(F.regexp_replace("_q_text", "\\p{L}+", ""))),
         "n_stop_words": long(F.size(F.filter("_q_words", lambda w: w.isin(*dict.fromkeys(STOP_WORDS))))),
-        "n_long_words": long(F.when(n >= LONG, n).otherwise(0)),
     }
     return held_back(df, [*columns, "_q_words"], {k: v for k, v in found.items() if not only or k in only})
 
@@ -128,7 +129,8 @@ def verdict(rules: tuple[Rule, ...] = RULES) -> Column:
     for r in rules:
         unit = F.col(r.per) if r.per else F.lit(1)
         if r.least is not None:
-            out = out & (F.col(r.measure) >= unit * F.lit(r.least))
+            least = unit * F.lit(r.least)
+            out = out & (F.col(r.measure) >= (F.floor(least) if r.whole else least))
         if r.most is not None:
             out = out & (F.col(r.measure) <= unit * F.lit(r.most))
     return out

@@ -39,9 +39,9 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from turnstone.llm.transport_stream import decode_streams, encode_streams
+    from turnstone.llm.transport_stream import decode_streams, stored
 
-    return decode_streams(encode_streams(_read(spark, sf_dir, "documents")))
+    return decode_streams(stored(_read(spark, sf_dir, "documents"))).drop("error")
 
 
 def packed(docs: DataFrame) -> DataFrame:
@@ -51,7 +51,7 @@ def packed(docs: DataFrame) -> DataFrame:
     from turnstone.llm.packing import pack_documents
 
     pieces = pack_documents(docs, _tokenizer("byte_bpe_50k.json"), _tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

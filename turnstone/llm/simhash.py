@@ -3,16 +3,13 @@
 Fingerprints: XXH64 of every word shingle, each bit decided by majority.  Equal
 fingerprints are one class, whatever their number.
 
-Search: two fingerprints within the radius r agree on one of r + 1 slices of their
-bits, so classes that share a slice's value form a shard.  A shard's tree keys a
+Search: two fingerprints within the radius r agree on one of r + 1 parts of their
+bits, so classes that share a part's value form a shard.  A shard's tree keys a
 node's children by their Hamming distance to it; a query at distance d from a node
-follows only the edges d - r to d + r.  Trees of the whole corpus have no size bound,
-so they are not broadcast: each goes to the task that holds its shard's queries.
-
-A shard beyond ``tree_limit`` classes is searched another way, as exact for radii up
-to 2: each of its fingerprints is listed under itself and under every fingerprint
-one bit away; two are within 2 bits if and only if they share such a key, and no key
-can have more than 65 members.
+follows only the edges d - r to d + r.  A shard beyond ``tree_limit`` classes is dealt
+again by parts of the bits that are left, so trees are searched at every size and,
+for radii up to 2, no tree exceeds 2^13 nodes (or ``tree_limit``).  Trees of the whole corpus have no bound, so they are not
+broadcast: each is built in the task that holds its shard, which is all its queries.
 
 Links only join sets that are still apart within their shard, so a dense group of n
 gives at most n - 1 of them; components keep all that is reachable.
@@ -126,59 +123,89 @@ def shard_links(items: list[int], radius: int) -> list[tuple[int, int]]:
     return links
 
 
-def slices(radius: int) -> list[tuple[int, int]]:
-    """(shift, width) of radius + 1 slices of the bits."""
-    edges = [BITS * k // (radius + 1) for k in range(radius + 2)]
-    return [(a, b - a) for a, b in zip(edges, edges[1:])]
+#: Most ways (masks of agreed bits) in which large shards are dealt again.
+WAYS = 100
+
+
+def parts_of(bits: list[int], n: int) -> list[list[int]]:
+    """``bits`` in n parts as equal as may be."""
+    edges = [len(bits) * k // n for k in range(n + 1)]
+    return [bits[x:y] for x, y in zip(edges, edges[1:])]
+
+
+def signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def split_masks(masks: dict[int, int], radius: int) -> dict[int, list[int]]:
+    """For each agreed mask the finer ones: it and one of radius + 1 parts of the bits that are left."""
+    return {k: [m | sum(1 << b for b in part) for part in parts_of([b for b in range(BITS) if not m >> b & 1], radius + 1)] for k, m in masks.items()}
+
+
+def shard_key(mask: int, path: int) -> F.Column:
+    return F.xxhash64(F.lit(path), F.col("fp").bitwiseAND(F.lit(signed(mask))))
+
+
+def sharded(classes: DataFrame, scratch: Scratch, radius: int, tree_limit: int) -> list[DataFrame]:
+    """Tables (key, fp) of shards in which every pair within the radius meets.
+
+    Two fingerprints within the radius agree on one of radius + 1 parts of any bits.  A
+    shard of more than ``tree_limit`` classes is dealt again by parts of the bits that its
+    classes do not agree on, and so on while there are no more than ``WAYS`` ways of dealing.
+    For radii up to 2 the last of them leave 13 bits open, so no shard has more than
+    2^13 classes.  Keys are hashes: two shards that share one are searched as one.
+    """
+    rows, masks, out, depth = classes.select("fp", F.lit(-1).alias("path")), {-1: 0}, [], 0
+    while True:
+        finer, named, keys = split_masks(masks, radius), [], None
+        for path, found in sorted(finer.items()):
+            own = F.array(*[F.struct(shard_key(m, (depth << 32) + len(named) + k).alias("key"), F.lit(len(named) + k).alias("path")) for k, m in enumerate(found)])
+            keys = F.when(F.col("path") == path, own) if keys is None else keys.when(F.col("path") == path, own)
+            named += found
+        level = rows.select("fp", F.explode(keys).alias("k")).select("k.key", "k.path", "fp")
+        sizes = scratch.save(level.groupBy("key", "path").agg(F.count("*").alias("n")).where("n > 1"), f"sizes-{depth}")
+        last = len(named) * (radius + 1) > WAYS
+        several = sizes if last else sizes.where(F.col("n") <= tree_limit)
+        out.append(level.join(several.select("key"), "key", "left_semi").select("key", "fp"))
+        large = sizes.where(F.col("n") > tree_limit)
+        grown = [] if last else [r["path"] for r in large.select("path").distinct().collect()]
+        if not grown:
+            return out
+        rows = scratch.save(level.join(large.select("key"), "key", "left_semi").select("fp", "path").distinct(), f"dense-{depth}")
+        masks, depth = {p: named[p] for p in grown}, depth + 1
 
 
 def linked(classes: DataFrame, scratch: Scratch, radius: int = 2, tree_limit: int = 2048) -> DataFrame:
     """Links (a, b) between distinct fingerprints ``fp`` that reach all within the radius of each other."""
-    if radius > 2:
-        raise ValueError("shards beyond the tree limit are searched exactly up to radius 2")
-    keys = F.explode(F.array(*[F.struct(F.lit(k).alias("slice"), F.shiftrightunsigned("fp", a).bitwiseAND((1 << w) - 1).alias("value")) for k, (a, w) in enumerate(slices(radius))]))
-    sharded = classes.select("fp", keys.alias("key")).select(F.col("key.value").bitwiseOR(F.shiftleft(F.col("key.slice").cast("long"), 60)).alias("key"), "fp")
 
     def search(batches):
-        key, held, large = None, [], False
+        key, held = None, []
         for batch in batches:
             ks, fps = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
             edges = np.concatenate([[0], np.flatnonzero(np.diff(ks)) + 1, [len(ks)]])
-            a, b = [], []
+            found = []
             for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
                 if lo == hi:
                     continue
                 if ks[lo] != key:
-                    if len(held) > 1:
-                        for x, y in shard_links(held, radius):
-                            a.append(x)
-                            b.append(y)
-                    key, held, large = ks[lo], [], False
+                    found += shard_links(held, radius)
+                    key, held = ks[lo], []
                 held += fps[lo:hi].tolist()
-                if large or len(held) > tree_limit:
-                    a += held
-                    b += [None] * len(held)
-                    held, large = [], True
-            if a:
-                yield links_batch(a, b)
-        if len(held) > 1 and (found := shard_links(held, radius)):
-            yield links_batch(*map(list, zip(*found)))
-
-    def links_batch(a, b):
-        return pa.RecordBatch.from_arrays([pa.array([x - (1 << 64) if x >> 63 else x for x in a], pa.int64()), pa.array([None if x is None else x - (1 << 64) if x >> 63 else x for x in b], pa.int64())], ["a", "b"])
+            if found:
+                yield links_batch(found)
+        if found := shard_links(held, radius):
+            yield links_batch(found)
+
+    def links_batch(found):
+        return pa.RecordBatch.from_arrays([pa.array([signed(x) for x in side], pa.int64()) for side in zip(*found)], ["a", "b"])
 
     parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = scratch.save(sharded.repartition(parts, "key").sortWithinPartitions("key", "fp").mapInArrow(search, "a long, b long"), "found")
-    links = found.where("b IS NOT NULL")
-    large = found.where("b IS NULL").select(F.col("a").alias("fp")).distinct()
-    if not large.isEmpty():
-        flips = F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit(1 << k if k < 63 else -(1 << 63)).cast("long")) for k in range(BITS)])
-        if radius < 2:
-            raise ValueError("the way for large shards links up to 2 bits")
-        listed = large.select("fp", F.explode(flips).alias("key"))
-        least = listed.groupBy("key").agg(F.min("fp").alias("b"), F.count("*").alias("n")).where("n > 1")
-        links = links.union(listed.join(least, "key").where("fp <> b").select(F.col("fp").alias("a"), "b"))
-    return links
+    shards = sharded(classes, scratch, radius, tree_limit)
+    tables = [t.repartition(parts, "key").sortWithinPartitions("key", "fp").mapInArrow(search, "a long, b long") for t in shards]
+    links = tables[0]
+    for t in tables[1:]:
+        links = links.union(t)
+    return scratch.save(links, "found")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, seed: int = 42, radius: int = 2, tree_limit: int = 2048) -> DataFrame:

@@ -8,6 +8,12 @@ the association table to the map table and to the stream, checks sync bytes,
 checksums and counters, joins the elementary packets and keeps timestamps and
 random-access points.
 
+A packet sent twice, as the format allows, is read once.  Where a counter jumps and no
+discontinuity is announced, packets were lost: the jump is counted, the elementary
+packet that lacks them goes, and reading goes on at the next one.  A table's section is
+read from where one begins; one whose checksum fails is passed over for a later one.
+``decode_streams`` puts what makes a stream unreadable into its ``error`` column.
+
 Cases: null text counts as empty, whose payload is one access unit of filling; long
 texts are stored whole; repeated rows give equal values; a null id stays null; other
 columns are ignored; an empty table gives an empty result.
@@ -24,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from turnstone.llm._shared import texts
+from turnstone.llm._shared import Scratch, texts
 
 PACKET, SYNC, PAT_PID = 188, 0x47, 0
 #: Of the streams written here: 8-bit samples at 48 kHz as a private stream.
@@ -128,20 +134,29 @@ class Stream:
     random_access: np.ndarray
     unit_bytes: np.ndarray
     packets: int
+    duplicates: int
     continuity_errors: int
-
-
-def _sections(rows: np.ndarray, starts: np.ndarray, flags: np.ndarray) -> bytes:
-    """The first section among a table's packets, its checksum checked."""
-    raw = b""
-    for row, at, first in zip(rows, starts, flags):
-        body = row[at:].tobytes()
-        raw += body[1 + body[0] :] if first and not raw else body[1:] if first else body
-        if len(raw) >= 3 and len(raw) >= (need := 3 + (raw[1] << 8 & 0xF00 | raw[2])):
-            if section_crc(raw[:need]):
-                raise StreamError("a table's checksum does not hold")
-            return raw[:need]
-    raise StreamError("a table does not end")
+    damaged: int
+
+
+def _section_of(p: np.ndarray, own: np.ndarray, start: np.ndarray, first: np.ndarray) -> bytes:
+    """The first whole section among a table's packets whose checksum holds."""
+    raw, failed = None, False
+    for k in own.tolist():
+        body = p[k, start[k] :].tobytes()
+        if first[k] and body:
+            # What comes before the pointer's place ends the section before.
+            held, raw = None if raw is None else raw + body[1 : 1 + body[0]], body[1 + body[0] :]
+        else:
+            held, raw = (None, None) if raw is None else (raw + body, raw + body)
+        for tried in (held, raw):
+            if tried is not None and len(tried) >= 3 and len(tried) >= (need := 3 + (tried[1] << 8 & 0xF00 | tried[2])):
+                if need >= 12 and not section_crc(tried[:need]):
+                    return tried[:need]
+                failed = True
+                if tried is raw:
+                    raw = None
+    raise StreamError("a table's checksum does not hold" if failed else "a table does not end")
 
 
 def read_stream(data: bytes) -> Stream:
@@ -162,8 +177,7 @@ def read_stream(data: bytes) -> Stream:
         own = pid == number
         if not own.any():
             raise StreamError("a table is missing")
-        own = np.flatnonzero(own)[:64]
-        return _sections(p[own], start[own], first[own])
+        return _section_of(p, np.flatnonzero(own), start, first)
 
     pat = table(PAT_PID)
     programs = {n: m & 0x1FFF for n, m in struct.iter_unpack(">HH", pat[8:-4]) if n}
@@ -174,37 +188,52 @@ def read_stream(data: bytes) -> Stream:
     stream_type, number = pmt[at], (pmt[at + 1] << 8 | pmt[at + 2]) & 0x1FFF
     own = np.flatnonzero(pid == number)
     carrying = own[(control[own] & 1) > 0]
-    wrong = int((np.diff(counter[carrying].astype(np.int16)) % 16 != 1).sum())
-    if not len(carrying) or not first[carrying[0]]:
-        raise StreamError("the stream does not begin with an elementary packet")
+    again = np.zeros(len(carrying), bool)
+    same = np.flatnonzero(counter[carrying[1:]] == counter[carrying[:-1]]) + 1
+    # Clock references aside, which lie before the payload, a packet sent twice is the same.
+    alike = [start[a] == start[b] and bool((p[a, start[a] :] == p[b, start[b] :]).all()) for a, b in zip(carrying[same], carrying[same - 1])]
+    again[same[np.array(alike, bool)]] = True
+    thrice = int((again[1:] & again[:-1]).sum())
+    duplicates, carrying = int(again.sum()), carrying[~again]
+    flags = np.where((control[carrying] & 2 > 0) & (p[carrying, 4] > 0), p[carrying, 5], 0)
+    jump = np.zeros(len(carrying), bool)
+    jump[1:] = (np.diff(counter[carrying].astype(np.int16)) % 16 != 1) & (flags[1:] & 0x80 == 0)
+    wrong = int(jump.sum()) + thrice
+    if not first[carrying].any():
+        raise StreamError("no elementary packet begins")
+    lead = int(np.argmax(first[carrying]))
+    carrying, flags, jump = carrying[lead:], flags[lead:], jump[lead:]
     opens = np.flatnonzero(first[carrying])
-    mark = ((control[carrying] & 2) > 0) & (p[carrying, 4] > 0) & ((p[carrying, 5] & 0x40) > 0)
+    inner = jump & ~first[carrying]
+    torn = np.add.reduceat(inner, opens) > 0
+    cut = np.append(jump[opens[1:]], False)
+    mark = flags & 0x40 > 0
     held = (PACKET - start[carrying]).astype(np.int64)
     body = p[carrying][np.arange(PACKET) >= start[carrying][:, None]]
     ends = np.cumsum(held)
     begins = (ends - held)[opens]
     stops = np.append(begins[1:], ends[-1])
-    if ((stops - begins) < 9).any():
-        raise StreamError("an elementary packet is cut short")
-    heads = body[begins[:, None] + np.arange(9)].astype(np.int64)
-    if (heads[:, :3] != [0, 0, 1]).any():
-        raise StreamError("an elementary packet lacks its prefix")
+    heads = body[np.minimum(begins[:, None] + np.arange(9), len(body) - 1)].astype(np.int64)
     length = heads[:, 4] << 8 | heads[:, 5]
-    if ((length > 0) & (length + 6 != stops - begins)).any():
-        raise StreamError("an elementary packet's length does not hold")
-    has = (heads[:, 7] & 0x80) > 0
+    whole = (stops - begins >= 9) & (heads[:, :3] == [0, 0, 1]).all(axis=1) & ~torn
+    whole &= np.where(length > 0, length + 6 == stops - begins, ~cut) & (9 + heads[:, 8] <= stops - begins)
+    damaged = int((~whole).sum()) + (lead > 0)
+    if not whole.any():
+        raise StreamError("no elementary packet is whole")
+    heads, begins, stops, opens = heads[whole], begins[whole], stops[whole], opens[whole]
+    has = (heads[:, 7] & 0x80 > 0) & (heads[:, 8] >= 5)
     t = body[np.minimum(begins[:, None] + np.arange(9, 14), len(body) - 1)].astype(np.int64)
     pts = (t[:, 0] >> 1 & 7) << 30 | t[:, 1] << 22 | t[:, 2] >> 1 << 15 | t[:, 3] << 7 | t[:, 4] >> 1
     skip = 9 + heads[:, 8]
     edge = np.zeros(len(body) + 1, np.int32)
-    edge[begins + skip] += 1
-    edge[stops] -= 1
+    np.add.at(edge, begins + skip, 1)
+    np.subtract.at(edge, stops, 1)
     payload = body[np.cumsum(edge[:-1]) > 0].tobytes()
-    return Stream(programs, int(stream_type), int(number), payload, np.where(has, pts, -1), np.flatnonzero(mark[opens]), stops - begins - skip, len(p), wrong)
+    return Stream(programs, int(stream_type), int(number), payload, np.where(has, pts, -1), np.flatnonzero(mark[opens]), stops - begins - skip, len(p), duplicates, wrong, damaged)
 
 
 STREAMS = "doc_id long, n_bytes long, media binary"
-FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, error string"
 
 
 def encode_streams(docs: DataFrame) -> DataFrame:
@@ -236,21 +265,32 @@ def merged(run, limit: int = 8 << 20):
 
 
 def feature_of(s: Stream) -> str:
-    """Units, packets, first and last timestamp, random-access points with their timestamps' sum, counter errors."""
-    return f"units={len(s.timestamps)};packets={s.packets};type={s.stream_type};pts={s.timestamps[0]}-{s.timestamps[-1]};random_access={len(s.random_access)};random_access_pts={int(s.timestamps[s.random_access].sum())};counter_errors={s.continuity_errors}"
+    """Units, packets, first and last timestamp, random-access points with their timestamps' sum, what was lost, and the samples' peak and power."""
+    level = np.abs(np.frombuffer(s.payload, np.uint8).astype(np.int16) - 128)
+    peak, power = (int(level.max()), int(np.square(level, dtype=np.int64).sum()) // len(level)) if len(level) else (0, 0)
+    return f"units={len(s.timestamps)};packets={s.packets};type={s.stream_type};pts={s.timestamps[0]}-{s.timestamps[-1]};random_access={len(s.random_access)};random_access_pts={int(s.timestamps[s.random_access].sum())};counter_errors={s.continuity_errors};damaged={s.damaged};peak={peak};power={power}"
+
+
+def stored(docs: DataFrame) -> DataFrame:
+    """The streams of all texts, written to the shared folder and read from there."""
+    return Scratch(docs.sparkSession, "transport-streams").save(encode_streams(docs), "media")
 
 
 def decode_streams(media: DataFrame) -> DataFrame:
-    """Reads streams back; digests are of the payload read from them."""
+    """Reads streams back; digests are of the payload read from them.  An unreadable stream has an error and no payload."""
 
     def run(batches):
         for batch in batches:
             rows = []
             for k in range(batch.num_rows):
                 data = batch.column(2)[k].as_py()
-                s = read_stream(data)
-                rows.append((batch.column(0)[k].as_py(), batch.column(1)[k].as_py(), len(s.payload), hashlib.sha256(s.payload).hexdigest(), zlib.crc32(s.payload[-32:]), len(data), hashlib.sha256(data).hexdigest(), feature_of(s)))
+                try:
+                    s = read_stream(data)
+                    read = (len(s.payload), hashlib.sha256(s.payload).hexdigest(), zlib.crc32(s.payload[-32:])), feature_of(s), None
+                except StreamError as fault:
+                    read = (None, None, None), None, str(fault)
+                rows.append((batch.column(0)[k].as_py(), batch.column(1)[k].as_py(), *read[0], len(data), hashlib.sha256(data).hexdigest(), *read[1:]))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()))], FEATURES.replace(" long", "").replace(" string", "").split(", "))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string()))], FEATURES.replace(" long", "").replace(" string", "").split(", "))
 
     return media.select("doc_id", "n_bytes", "media").mapInArrow(run, FEATURES)

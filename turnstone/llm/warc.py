@@ -8,7 +8,8 @@ version, mandatory headers, lengths, block and payload digests.
 Of records with equal payloads (of at least ``least`` bytes) that with the smallest id
 is a response and the others are revisits that refer to it.  The smallest id is taken
 by a pre-aggregated minimum for each digest, so a page with very many copies sends a
-few partial rows.
+few partial rows; joined back, a digest's rows are dealt over ``SALTS`` keys, as are
+those that no minimum can match.
 
 Archives are rows of a table in the shared folder, bounded in size, which every
 executor can write and read; ``content`` is the file as other tools know it.
@@ -41,6 +42,8 @@ ARCHIVE_BYTES = 24 << 20
 SAMPLE_BYTES, DICTIONARY_BYTES = 1 << 20, 32 << 10
 DATE = "1970-01-01T00:00:00Z"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
+#: Keys over which the rows of one digest are dealt.
+SALTS = 32
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -167,7 +170,10 @@ def write_archives(pages: DataFrame, least: int = 100, archive_bytes: int = ARCH
     own = pages.select("page_id", "url", F.encode(F.coalesce("html", F.lit("")), "utf-8").alias("payload"))
     own = own.withColumn("digest", F.unhex(F.sha2("payload", 256)))
     first = own.where(F.octet_length("payload") >= least).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("copies")).where("copies > 1").select("digest", "first")
-    told = own.join(first, "digest", "left").select("page_id", "url", "payload", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"))
+    key, spread = F.when(F.octet_length("payload") >= least, F.col("digest")), F.xxhash64("page_id", "url")
+    own = own.select("*", key.alias("key"), F.when(key.isNotNull(), F.pmod(spread, F.lit(SALTS))).otherwise(spread).alias("salt"))
+    every = first.select(F.col("digest").alias("key"), "first", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
+    told = own.join(every, ["key", "salt"], "left").select("page_id", "url", "payload", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"))
 
     def run(batches):
         task, k, held, size = TaskContext.get().partitionId(), 0, [], 0
