@@ -26,5 +26,7 @@ def cut(df: DataFrame) -> DataFrame:
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
         root = df.sparkSession.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+        if not root and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         context.setCheckpointDir(root or "file://" + tempfile.mkdtemp(prefix="turnstone-"))
     return df.checkpoint()
