@@ -385,18 +385,64 @@ def test_archive_faults():
 def test_mixing_meets_targets(spark):
     from pyspark.sql import functions as F
 
-    from turnstone.llm.mixing import mixed, rates
+    from turnstone.llm.mixing import fit, mixed
 
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
-    got = rates(docs, labels).cache()
+    got, report = fit(docs, labels)
     assert got.count() == docs.count() and got.where("rate < 0 OR rate IS NULL").count() == 0
     sums = got.agg(*[F.sum(F.col("n_tokens") * F.col(f"p_{d}") * F.col("rate")).alias(d) for d in ("clean", "rough", "toxic")]).first()
     total = sum(sums)
-    assert abs(sums["clean"] / total - 0.95) < 0.05 and sums["toxic"] / total < 0.05
-    clean = labels.where("quality = 1 AND toxic = 0").select("doc_id")
-    kept = mixed(docs, labels, {"clean": 1.0})
+    assert report["converged"] and report["met"]
+    assert abs(sums["clean"] / total - 0.95) < 0.005 and abs(sums["rough"] / total - 0.05) < 0.005 and sums["toxic"] / total < 0.005
+    assert all(math.isclose(sums[c.removeprefix("p_")], x, rel_tol=1e-9) for c, x in report["reached"].items())
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{n}.parquet") for n in ("documents", "labels"))
+    kept = mixed(docs, labels, {"clean": 1.0}, closeness=0.003).cache()
     assert kept.columns == docs.columns
+    clean, toxic = labels.where("quality = 1 AND toxic = 0").select("doc_id"), labels.where("toxic = 1 AND quality = 1").select("doc_id")
     assert kept.join(clean, "doc_id", "left_semi").count() > 0.97 * clean.count()
+    assert kept.join(toxic, "doc_id", "left_semi").count() < 0.05 * toxic.count()
+
+
+def nonnegative_rates(tokens, p, aim, weight, rounds=200_000):
+    """Rates r >= 0 of least |tokens p r - aim|^2 + weight tokens (r - 1)^2, by plain accelerated projected gradient."""
+    a = tokens[:, None] * p
+    scale = np.sqrt(tokens)
+    m, pull = a / scale[:, None], weight  # in r * sqrt(tokens) the second term is a plain distance
+    step = 1 / (np.linalg.norm(m.T @ m, 2) + pull)
+    x = y = scale.copy()
+    t = 1.0
+    for _ in range(rounds):
+        new = np.maximum(0, y - step * (m @ (m.T @ y - aim) + pull * (y - scale)))
+        after = (1 + math.sqrt(1 + 4 * t * t)) / 2
+        y = new + (t - 1) / after * (new - x)
+        if np.abs(new - x).max() < 1e-10 * scale.max():
+            x = new
+            break
+        x, t = new, after
+    return x / scale
+
+
+def test_rates_are_the_least_squares_solution(spark):
+    from turnstone.llm.mixing import TARGETS, fitted
+
+    draw = np.random.default_rng(3)
+    tokens = draw.integers(1, 400, 150).astype(float)
+    p = draw.dirichlet([0.3, 0.2, 0.1], 150)
+    table = spark.createDataFrame([(int(n), *map(float, x)) for n, x in zip(tokens, p)], "n_tokens long, p_clean double, p_rough double, p_toxic double")
+    for targets, closeness in ((TARGETS, 0.01), ({"clean": 0.2, "rough": 0.4, "toxic": 0.4}, 0.05), ({"toxic": 1.0}, 0.02)):
+        rate, report = fitted(table, ["p_clean", "p_rough", "p_toxic"], targets, closeness=closeness)
+        got = np.array([r[0] for r in table.select(rate).collect()])
+        aim = np.array([report["aim"][f"p_{d}"] for d in ("clean", "rough", "toxic")])
+        want = nonnegative_rates(tokens, p, aim, closeness * aim.sum())
+        assert report["converged"] and np.abs(got - want).max() < 1e-3
+
+
+def test_targets_out_of_reach_are_told(spark):
+    from turnstone.llm.mixing import fitted
+
+    table = spark.createDataFrame([(10, 0.5, 0.5)] * 5, "n_tokens long, p_clean double, p_toxic double")
+    rate, report = fitted(table, ["p_clean", "p_toxic"], {"clean": 1.0})
+    assert not report["met"] and report["converged"] and report["missed"] > 0.1
 
 
 def test_mixing_edges(docs, empty, spark):
