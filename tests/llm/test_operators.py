@@ -214,41 +214,159 @@ def test_fast_ids_are_the_tokenizer_s():
 # --- language model ----------------------------------------------------------------
 
 
+def plain_scores(texts, spell, folds=5, fold=1):
+    """The model in plain Python: (doc_id, held_out, n_tokens, n_known, base, score) of each text; ``spell`` gives a word's log10."""
+    from turnstone.llm.context_mixing import END
+    from turnstone.llm.lm_scoring import FORETOLD, KNOWN, decision_tables, foretold_state, known_state, word_hash
+
+    held = [i is not None and zlib.crc32(str(i).encode()) % folds == fold for i, _ in texts]
+    trains = [i is not None and not h for (i, _), h in zip(texts, held)]
+    seqs = [[*(w.encode() for w in WORD.findall(lower(t))), END] for _, t in texts]
+    own = [Counter(q) if t else Counter() for q, t in zip(seqs, trains)]
+    pairs = [Counter(zip(q, q[1:], q[2:])) if t else Counter() for q, t in zip(seqs, trains)]
+    count, after = Counter(), {}
+    for c in own:
+        count.update(c)
+    for c in pairs:
+        for (x, y, z), n in c.items():
+            after.setdefault((x, y), Counter())[z] += n
+    n_train, n_distinct = sum(count.values()), len(count)
+    seen = np.zeros((FORETOLD + KNOWN, 2), np.int64)
+    steps, fixed = [], []
+    for d, q in enumerate(seqs):
+        mine, run, told, total = [], 0, [2, 2], 0.0
+        for k, w in enumerate(q):
+            state = hit = None
+            if k >= 2:
+                key = (q[k - 2], q[k - 1])
+                rest = {z: n - pairs[d][*key, z] for z, n in after.get(key, {}).items()}
+                top = sorted(after.get(key, {}).items(), key=lambda x: (-x[1], word_hash(x[0])))[:2]
+                top = sorted(((rest[z], word_hash(z)) for z, _ in top), key=lambda x: (-x[0], x[1]))
+                if top and top[0][0] > 0:
+                    state = int(foretold_state(np.array([run]), np.array([sum(rest.values())]), np.array([top[0][0]]))[0])
+                    hit = word_hash(w) == top[0][1]
+                    mine.append((state, int(hit)))
+            left = count[w] - own[d][w]
+            if not hit:
+                state = FORETOLD + int(known_state(told[-1], told[-2], int(hit is False)))
+                mine.append((state, int(left > 0)))
+                total += math.log10(left / (n_train - sum(own[d].values()))) if left > 0 else spell(w)
+            run = run + 1 if hit else 0
+            told.append(int(left > 0))
+        steps.append(mine)
+        fixed.append(total)
+        if trains[d]:
+            for state, yes in mine:
+                seen[state, yes] += 1
+    yes = np.concatenate(decision_tables(seen))
+    out = []
+    for (i, _), h, q, mine, total in zip(texts, held, seqs, steps, fixed):
+        base = sum(math.log10((count[w] + 0.5) / (n_train + 0.5 * (n_distinct + 1))) for w in q)
+        out.append((i, h, len(q), sum(count[w] > 0 for w in q), n_train, base, total + sum(math.log10(yes[s] if y else 1 - yes[s]) for s, y in mine)))
+    return out
+
+
+def spelled_by(words):
+    """log10 under the spelling model of these training words, fitted here without Spark."""
+    from turnstone.llm.context_mixing import Mixer, map_counts, maps_of, quantised, shape_for, slopes, slot_counts, stepped
+    from turnstone.llm.context_mixing import GATES, ORDERS
+
+    shape = shape_for(len(words))
+    words = [w for w in words if w != b"\n"]
+    buckets = [sorted(w for w in words if zlib.crc32(w) % 48 == k) for k in range(48)]
+    zeros, ones = (np.zeros(shape.offsets[-1], np.int32) for _ in range(2))
+    for own in filter(None, buckets):
+        slot_counts(own, shape, zeros, ones)
+    table = quantised(zeros, ones)
+    weights, known, low = np.full((GATES, ORDERS), 0.3), np.zeros((GATES, ORDERS, ORDERS)), 0
+    while low < 48:
+        high = min(48, max(1, 2 * low))
+        sums = sum([slopes(Mixer(shape, table, weights), own) for own in filter(None, buckets[low:high])], np.zeros(GATES * 27, np.int64))
+        weights, known = stepped(weights, sums, known)
+        low = high
+    maps = [map_counts(Mixer(shape, table, weights), own) for own in filter(None, buckets)]
+    n = shape.buckets * (256 + 4096)
+    maps = maps_of(shape, sum([m[0] for m in maps], np.zeros(n, np.int64)), sum([m[1] for m in maps], np.zeros(n, np.int64)))
+    mixer = Mixer(shape, table, weights, maps)
+    return lambda w: mixer.log10([w])[0]
+
+
+def same_scores(got, texts):
+    trained = Counter(w.encode() for i, t in texts if i is not None and zlib.crc32(str(i).encode()) % 5 != 1 for w in [*WORD.findall(lower(t)), "\n"])
+    want = sorted(plain_scores(texts, spelled_by(list(trained))), key=lambda r: (repr(r[0]), r[2], r[6]))
+    for r, w in zip(sorted(got, key=lambda r: (repr(r["doc_id"]), r["n_tokens"], r["score"])), want, strict=True):
+        assert (r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == w[:5]
+        assert math.isclose(r["base_score"], w[5], rel_tol=1e-9) and math.isclose(r["score"], w[6], rel_tol=1e-9)
+
+
 def test_lm_scoring(docs, empty):
     from turnstone.llm.lm_scoring import score
 
-    tokens = [(i, [*WORD.findall(lower(t)), "\n"]) for i, t in TEXTS]
-    held = {i: i is not None and zlib.crc32(str(i).encode()) % 5 == 1 for i, _ in TEXTS}
-    count = Counter(w for i, ws in tokens if i is not None and not held[i] for w in ws)
-    n, v = sum(count.values()), len(count)
-    got = sorted(score(docs).collect(), key=lambda r: (repr(r["doc_id"]), r["n_tokens"]))
-    want = sorted(((i, held[i], len(ws), sum(count[w] > 0 for w in ws), n, sum(math.log10((count[w] + 0.5) / (n + 0.5 * (v + 1))) for w in ws)) for i, ws in tokens), key=lambda r: (repr(r[0]), r[2]))
-    for r, w in zip(got, want, strict=True):
-        assert (r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == w[:5]
-        assert math.isclose(r["base_score"], w[5], rel_tol=1e-9) and r["score"] < 0
+    got = score(docs).collect()
+    same_scores(got, TEXTS)
+    assert all(math.isclose(r["bits_per_byte"], -r["score"] * math.log2(10) / r["n_coded_bytes"]) for r in got)
     assert score(empty).count() == 0
 
 
-def test_model_is_a_distribution_and_learns():
-    from turnstone.llm.context_mixing import END, Counter as Counts, Mixer, Shape, Trainer, map_counts, maps_of, quantised
-
-    shape = Shape(bits=(8, 10, 12, 12, 12, 14))
-    words = [b"the", b"then", b"there", b"of", END]
-    counts = np.array([500, 20, 30, 300, 100])
-    counter = Counts(shape)
-    counter.learn(words, counts)
-    table = quantised(counter.zeros, counter.ones)
-    mixer = Mixer(shape, table)
-    before = mixer.log10(words) @ counts
-    trainer = Trainer(mixer)
-    for _ in range(20):
-        trainer.learn(words, counts)
-    mixer.maps = maps_of(shape, *map_counts(mixer, words, counts))
-    assert mixer.log10(words) @ counts > before
-    # All first bytes together have probability one: sum over one-letter continuations of a fixed prefix stays below it.
+def test_lm_scoring_without_training_texts(spark):
+    from turnstone.llm.lm_scoring import score
+
+    got = score(spark.createDataFrame([(None, "a b a b"), (None, None)], "doc_id long, text string")).collect()
+    assert all(r["train_tokens"] == r["n_known"] == 0 and r["score"] < 0 for r in got)
+
+
+def test_lm_scores_depend_on_the_corpus_alone(spark):
+    from turnstone.llm.lm_scoring import score
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in docs.collect()]
+    first = None
+    for parts in (1, 8, 64):
+        got = score(docs.repartition(parts)).collect()
+        scores = {r["doc_id"]: r["score"] for r in got}
+        if first is None:
+            first = scores
+            same_scores(got, rows)
+        assert all(math.isclose(scores[i], x, rel_tol=1e-9) for i, x in first.items())
+
+
+def test_lm_beats_the_base_on_held_out_texts(spark):
+    from pyspark.sql import functions as F
+
+    from turnstone.llm.lm_scoring import score
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = score(docs).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert got[0] > 0.95 * got[1]
+
+
+def test_a_text_that_occurs_twice_is_foretold(spark):
+    from turnstone.llm.lm_scoring import held_out, score
+
+    draw, (a, b) = np.random.default_rng(1), [i for i in range(40) if not held_out(i)][:2]
+    texts = [" ".join(f"w{x}" for x in draw.integers(0, 400, 200)) for _ in range(40)]
+    got = {r["doc_id"]: r["score"] for r in score(spark.createDataFrame([(i, texts[a] if i == b else t) for i, t in enumerate(texts)], "doc_id long, text string")).collect()}
+    assert min(got[a], got[b]) > 0.6 * np.mean([got[i] for i in range(40) if i not in (a, b)])
+
+
+def test_spelling_is_a_distribution():
+    from turnstone.llm.context_mixing import END, Mixer, Shape, map_counts, maps_of, quantised, slopes, slot_counts, stepped, GATES, ORDERS
+
+    shape = Shape((8, 10, 12, 12, 12, 14))
+    words = [b"the", b"then", b"there", b"of", b"other", b"often"]
+    zeros, ones = (np.zeros(shape.offsets[-1], np.int64) for _ in range(2))
+    slot_counts(words, shape, zeros, ones)
+    table = quantised(zeros, ones)
+    weights, known = np.full((GATES, ORDERS), 0.3), np.zeros((GATES, ORDERS, ORDERS))
+    for _ in range(3):
+        weights, known = stepped(weights, slopes(Mixer(shape, table, weights), words), known)
+    mixer = Mixer(shape, table, weights, maps_of(shape, *map_counts(Mixer(shape, table, weights), words)))
+    # All words of one letter and all that begin otherwise share what is left of one.
     singles = [bytes([b]) for b in range(256) if b not in (9, 10, 11, 12, 13, 32)]
     assert (10 ** mixer.log10([*singles, END])).sum() <= 1 + 1e-9
     assert mixer.log10([b"the"])[0] > mixer.log10([b"xqz"])[0]
+    # Bit by bit, as single words and as a list, in plain numbers.
+    assert np.allclose([mixer.log10([w])[0] for w in words], mixer.log10(words), rtol=1e-12)
 
 
 # --- SimHash --------------------------------------------------------------------------
