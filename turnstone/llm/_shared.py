@@ -67,7 +67,10 @@ class Scratch:
         """A table bucketed by ``key``, whose rows are large and compressed: joins on it move only the other side."""
         table = f"turnstone_{uuid.uuid4().hex}"
         df.write.option("compression", "none").option("path", f"{self.base}/{name}").bucketBy(min(buckets, 50_000), key).saveAsTable(table)
-        return self.spark.table(table)
+        out = self.spark.table(table)
+        # The relation is resolved by now; the files are not the catalog's.
+        self.spark.sql(f"DROP TABLE {table}")
+        return out
 
     def drop(self, *names: str) -> None:
         jvm = self.spark.sparkContext._jvm
