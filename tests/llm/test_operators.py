@@ -217,7 +217,11 @@ def test_fast_ids_are_the_tokenizer_s():
 def plain_scores(texts, spell, folds=5, fold=1):
     """The model in plain Python: (doc_id, held_out, n_tokens, n_known, base, score) of each text; ``spell`` gives a word's log10."""
     from turnstone.llm.context_mixing import END
-    from turnstone.llm.lm_scoring import FORETOLD, KNOWN, decision_tables, foretold_state, known_state, word_hash
+    from turnstone.llm.lm_scoring import FORETOLD, FORETOLD_BITS, KNOWN, decision_tables, foretold_state, known_state
+    from turnstone.llm.lm_scoring import word_hash as whole_hash
+
+    def word_hash(w):
+        return whole_hash(w) & FORETOLD_BITS
 
     held = [i is not None and zlib.crc32(str(i).encode()) % folds == fold for i, _ in texts]
     trains = [i is not None and not h for (i, _), h in zip(texts, held)]
