@@ -277,14 +277,16 @@ def spelled_by(words, distinct):
 
     shape = shape_for(distinct)
     words = [w for w in words if w != b"\n"]
-    buckets = [sorted(w for w in words if zlib.crc32(w) % 48 == k) for k in range(48)]
+    from turnstone.llm.lm_scoring import MIN_BUCKETS as n_buckets
+
+    buckets = [sorted(w for w in words if zlib.crc32(w) % n_buckets == k) for k in range(n_buckets)]
     zeros, ones = (np.zeros(shape.offsets[-1], np.int32) for _ in range(2))
     for own in filter(None, buckets):
         slot_counts(own, shape, zeros, ones)
     table = quantised(zeros, ones)
     weights, known, low = np.full((GATES, ORDERS), 0.3), np.zeros((GATES, ORDERS, ORDERS)), 0
-    while low < 48:
-        high = min(48, max(1, 2 * low))
+    while low < n_buckets:
+        high = min(n_buckets, max(1, 2 * low))
         sums = sum([slopes(Mixer(shape, table, weights), own, low < 4) for own in filter(None, buckets[low:high])], np.zeros(GATES * 27, np.int64))
         weights, known = stepped(weights, sums, known, None if low < 4 else high / low)
         low = high
