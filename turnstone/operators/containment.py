@@ -15,7 +15,7 @@ from turnstone.functions.text import letters_and_digits
 def probe_windows(c: Column, width: int = 40, margin: int = 12) -> Column:
     """Up to three windows of a folded text: near its beginning, in its middle, at its end; none of short texts."""
     n = F.length(c)
-    at = F.array_distinct(F.array(F.lit(10), F.floor((n - width) / 2).cast("int"), n - width - 1))
+    at = F.array_distinct(F.array(F.lit(10), F.greatest(F.lit(10), F.floor((n - width) / 2).cast("int")), F.greatest(F.lit(10), n - width - 1)))
     inside = F.filter(F.transform(at, lambda k: F.greatest(F.least(k, n - width), F.lit(0))), lambda k: k >= 0)
     return F.when(n >= width + margin, F.transform(F.array_distinct(inside), lambda k: F.substring(c, k + 1, F.lit(width)))).otherwise(F.array().cast("array<string>"))
 

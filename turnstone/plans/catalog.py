@@ -46,7 +46,7 @@ def _day(c: str):
 
 
 def letters_sql(c: str) -> str:
-    return f"regexp_replace(translate(replace(lower({c}), 'ß', 'ss'), '{text.ACCENTED}', '{text.PLAIN}'), '[^0-9a-z]', '', 'g')"
+    return f"regexp_replace(strip_accents(replace(lower({c}), 'ß', 'ss')), '[^0-9a-z]', '', 'g')"
 
 
 # --- joins, pivots, shares ---------------------------------------------------
@@ -424,7 +424,7 @@ def max_matching(spark, sf_dir):
 
 # --- containment -------------------------------------------------------------------
 
-_WINDOWS = """SELECT item_id, unnest(list_distinct([substr(f, least(10, length(f) - 40) + 1, 40), substr(f, CAST(floor((length(f) - 40) / 2) AS INT) + 1, 40), substr(f, length(f) - 40, 40)])) AS probe FROM i WHERE length(f) >= 52"""
+_WINDOWS = """SELECT item_id, unnest(list_distinct([substr(f, 11, 40), substr(f, greatest(10, (length(f) - 40) // 2) + 1, 40), substr(f, greatest(10, length(f) - 41) + 1, 40)])) AS probe FROM i WHERE length(f) >= 52"""
 
 
 @query(f"""WITH i AS (SELECT item_id, {letters_sql('text')} AS f FROM benchmark), w AS ({_WINDOWS}), d AS (SELECT doc_id, {letters_sql('text')} AS t FROM documents)
