@@ -56,8 +56,8 @@ def matched(a: DataFrame, b: DataFrame, group: str, label: str, opening: str) ->
     kind = dict(a.dtypes)[group]
 
     def pair(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        left = list(zip(x[label].fillna(""), x[opening].fillna("")))
-        right = list(zip(y[label].fillna(""), y[opening].fillna("")))
+        # A side without rows comes without columns.
+        left, right = (list(zip(z[label].fillna(""), z[opening].fillna(""))) if len(z) else [] for z in (x, y))
         key = (x if len(x) else y)[group].iloc[0]
         return pd.DataFrame({group: [key], "n_a": [len(left)], "n_b": [len(right)], "n_matched": [largest_matching(left, right)], "n_first_fit": [first_fit(left, right)]})
 
