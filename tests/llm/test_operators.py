@@ -294,7 +294,7 @@ def spelled_by(words, distinct):
     n = shape.buckets * (256 + 4096)
     maps = maps_of(shape, sum([m[0] for m in maps], np.zeros(n, np.int64)), sum([m[1] for m in maps], np.zeros(n, np.int64)))
     mixer = Mixer(shape, table, weights, maps)
-    return lambda w: mixer.log10([w])[0]
+    return lambda w: float(np.float32(mixer.log10([w])[0]))
 
 
 def same_scores(got, texts):
