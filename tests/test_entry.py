@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 
 from .conftest import SF
 
-SOME = ["sum_pivot_by_year", "exact_quantiles", "asof_nearest", "spells_clipped", "cascade_match", "probe_containment", "multiset_overlap", "resolve_labels", "read_verdicts"]
+SOME = ["sum_pivot_by_year", "exact_quantiles", "asof_nearest", "spells_clipped", "cascade_match", "probe_containment", "multiset_overlap", "resolve_labels", "resolve_twice", "read_verdicts"]
 
 
 def test_names():

@@ -1,12 +1,13 @@
 """From printed labels to people: the decision list, as joins on what each shape of label states.
 
 Inputs
-    labels: label, day, session_type, presiding (array of names; null where none is known)
+    labels: label, day, session, session_type, presiding (array of names; null where none is known); a row for each passage
     mandates: person_id, surname, given, party, province, begin, end, load_order
     officers: person_id, name, keys (array), role_stem, category, begin, end, curated, load_order
     gender (optional): given, feminine
 
-Only distinct (label, day) pairs are resolved; candidates come from equi-joins on words of
+Sittings of one day are kept apart by ``session`` (null counts as the empty name), since each has its own type and chair.
+Only distinct (label, day, session) are resolved; candidates come from equi-joins on words of
 names, never from comparing all labels with all people.
 """
 
@@ -18,11 +19,11 @@ from pyspark.sql import functions as F
 from turnstone.functions import labels as L
 from turnstone.functions.taxonomy import first_given, given_matches, honorific_is_feminine
 from turnstone.functions.text import resolver_key
-from turnstone.operators.linkage import close_names
+from turnstone.operators.linkage import close_names, learned_flags
 from turnstone.operators.temporal import in_window
 from turnstone.session import cut
 
-PROBE = ["label", "day"]
+PROBE = ["label", "day", "session"]
 
 
 def _words(c: Column) -> Column:
@@ -150,16 +151,19 @@ def namesakes(probes: DataFrame, officers: DataFrame) -> DataFrame:
 
 
 def resolve(labels: DataFrame, mandates: DataFrame, officers: DataFrame, gender: DataFrame | None = None) -> DataFrame:
-    """label, day, match_status, person_id, person_name, role, party, province, tiebreak: one row per (label, day).
+    """label, day, session, label_clean, n, match_status, person_id, person_name, role, party, province, tiebreak.
+
+    One row per (label, day, session); n is the number of its rows.
 
     A null label or one without a name is unmatched; without candidates a label stays
     unmatched, with several ambiguous; nothing is decided by order but where one holder of an
     office must be taken.
     """
-    kinds = labels.select("label").distinct().withColumn("tidy", L.offices_mended(L.tidied(F.col("label"))))
-    kinds = kinds.withColumn("p", L.parts(F.col("tidy"))).select("label", "tidy", "p.shape", "p.key", F.col("p.given").alias("given_asked"), "p.role", "p.grace")
-    kinds = kinds.withColumn("stem", L.role_stem(F.col("role"))).withColumn("asked_family", L.role_family(F.col("stem")))
-    rows = labels.groupBy(*PROBE).agg(F.max("session_type").alias("session_type"), F.max_by("presiding", F.size("presiding")).alias("presiding"))
+    kinds = labels.select("label").distinct().withColumn("p", L.read(F.col("label")))
+    kinds = kinds.select("label", "p.tidy", "p.shape", "p.key", F.col("p.given").alias("given_asked"), "p.role", "p.grace", "p.stem")
+    kinds = kinds.withColumn("asked_family", L.role_family(F.col("stem")))
+    rows = labels.withColumn("session", F.coalesce("session", F.lit(""))).groupBy(*PROBE)
+    rows = rows.agg(F.max("session_type").alias("session_type"), F.max_by("presiding", F.size("presiding")).alias("presiding"), F.count("*").alias("n"))
     probes = rows.join(kinds, rows["label"].eqNullSafe(kinds["label"])).drop(kinds["label"])
     probes = cut(probes)
 
@@ -202,6 +206,8 @@ def resolve(labels: DataFrame, mandates: DataFrame, officers: DataFrame, gender:
     is_member, is_officer = status.startswith("matched_senator"), status == "matched_authority"
     return all_.select(
         *PROBE,
+        F.col("tidy").alias("label_clean"),
+        "n",
         status.alias("match_status"),
         F.when(is_member, member["person_id"]).when(is_officer, officer["person_id"]).alias("person_id"),
         F.when(is_member, F.concat_ws(", ", member["surname"], member["given"])).when(is_officer, officer["name"]).alias("person_name"),
@@ -212,6 +218,26 @@ def resolve(labels: DataFrame, mandates: DataFrame, officers: DataFrame, gender:
     )
 
 
+def titles_learned(resolved: DataFrame, least: int = 4, share: float = 0.8) -> DataFrame:
+    """given, feminine: first given names whose titles agree, by the passages of members that ``resolved`` names."""
+    named = resolved.where("match_status IN ('matched_senator', 'matched_senator_chair')")
+    given = first_given(resolver_key(F.regexp_extract("person_name", ",(.*)$", 1)))
+    pairs = named.select(given.alias("given"), honorific_is_feminine(F.col("label_clean")).alias("feminine"), "n").where("given IS NOT NULL")
+    return learned_flags(pairs, "given", "feminine", "n", least, share).select("given", "feminine")
+
+
+def resolve_twice(labels: DataFrame, mandates: DataFrame, officers: DataFrame, least: int = 4, share: float = 0.8) -> DataFrame:
+    """``resolve``, then once more for what stayed ambiguous, with the titles that the first pass has taught.
+
+    Names count as learned from ``least`` passages on of which ``share`` agree. Nothing decided by a title is learned from.
+    """
+    first = cut(resolve(labels, mandates, officers))
+    open_ = first.where("match_status = 'ambiguous'").select(*PROBE)
+    rest = labels.withColumn("session", F.coalesce("session", F.lit(""))).join(open_, PROBE, "left_semi")
+    again = resolve(rest, mandates, officers, cut(titles_learned(first, least, share)))
+    return first.where("match_status <> 'ambiguous'").unionByName(again)
+
+
 def _gone(probes: DataFrame, mandates: DataFrame, officers: DataFrame) -> DataFrame:
     """Holders' names that someone bore in a seat or an office before the day, and nobody bears on it."""
     terms = mandates.select(resolver_key(F.col("surname")).alias("key"), "begin", "end").union(officers.select(F.explode("keys"), "begin", "end"))

@@ -339,13 +339,30 @@ def resolve_labels(spark, sf_dir):
     suppliers = table(spark, sf_dir, "supplier")
     day = F.lit("2010-05-01").cast("date")
     printed = spark.sql(_LABELS.replace("FROM supplier", "FROM {supplier}"), supplier=suppliers)
-    printed = printed.select("label", day.alias("day"), F.lit("ORDINARIA").alias("session_type"), F.lit(None).cast("array<string>").alias("presiding"))
+    printed = printed.select("label", day.alias("day"), F.lit("1").alias("session"), F.lit("ORDINARIA").alias("session_type"), F.lit(None).cast("array<string>").alias("presiding"))
     nothing = F.lit(None).cast("string")
     members = suppliers.select(F.concat(F.lit("p"), "s_suppkey").alias("person_id"), F.col("s_name").alias("surname"), F.lit("X").alias("given"), nothing.alias("party"), F.concat(F.lit("n"), "s_nationkey").alias("province"), day.alias("begin"), F.lit(None).cast("date").alias("end"), F.col("s_suppkey").alias("load_order"))
     officers = table(spark, sf_dir, "nation").select(F.concat(F.lit("auth:"), "n_nationkey").alias("person_id"), F.col("n_name").alias("name"), F.array(text.resolver_key(F.col("n_name"))).alias("keys"), F.lit("secretaria").alias("role_stem"), F.lit("chamber").alias("category"), day.alias("begin"), F.lit(None).cast("date").alias("end"), F.lit(True).alias("curated"), F.col("n_nationkey").cast("long").alias("load_order"))
     return resolution.resolve(printed, members, officers).select("label", "match_status", "person_id", "province")
 
 
+@query("""WITH m AS (SELECT s_suppkey, s_nationkey, s_suppkey % 2 = 0 AS feminine FROM supplier),
+own AS (SELECT 'Sr' || CASE WHEN feminine THEN 'a' ELSE '' END || '. House' || s_nationkey || ' (Giv' || s_suppkey || ')' AS label, 4 AS n, 'matched_senator' AS match_status, 'p' || s_suppkey AS person_id, NULL AS tiebreak FROM m),
+house AS (SELECT s_nationkey, feminine, count(*) OVER (PARTITION BY s_nationkey) AS seats, count(*) OVER (PARTITION BY s_nationkey, feminine) AS alike, s_suppkey FROM m),
+bare AS (SELECT 'Sr' || CASE WHEN feminine THEN 'a' ELSE '' END || '. House' || s_nationkey AS label, count(*) AS n, CASE WHEN max(seats) = 1 OR count(*) = 1 THEN 'matched_senator' ELSE 'ambiguous' END AS match_status,
+ CASE WHEN max(seats) = 1 OR count(*) = 1 THEN 'p' || min(s_suppkey) END AS person_id, CASE WHEN max(seats) > 1 AND count(*) = 1 THEN 'honorific' END AS tiebreak FROM house GROUP BY s_nationkey, feminine)
+SELECT label, CAST(n AS BIGINT) AS n, match_status, person_id, tiebreak FROM (SELECT * FROM own UNION ALL SELECT * FROM bare)""")
+def resolve_twice(spark, sf_dir):
+    day, title = F.lit("2010-05-01").cast("date"), F.concat(F.lit("Sr"), F.when(F.col("s_suppkey") % 2 == 0, "a").otherwise(""), F.lit(". House"), F.col("s_nationkey"))
+    given, nothing = F.concat(F.lit("Giv"), "s_suppkey"), F.lit(None).cast("string")
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    own = F.array_repeat(F.concat(title, F.lit(" ("), given, F.lit(")")), 4)
+    printed = suppliers.select(F.explode(F.concat(own, F.array(title))).alias("label"), day.alias("day"), F.lit("1").alias("session"), F.lit("ORDINARIA").alias("session_type"), F.lit(None).cast("array<string>").alias("presiding"))
+    members = suppliers.select(F.concat(F.lit("p"), "s_suppkey").alias("person_id"), F.concat(F.lit("House"), "s_nationkey").alias("surname"), given.alias("given"), nothing.alias("party"), nothing.alias("province"), day.alias("begin"), F.lit(None).cast("date").alias("end"), F.col("s_suppkey").alias("load_order"))
+    officers = table(spark, sf_dir, "nation").select(F.concat(F.lit("auth:"), "n_nationkey").alias("person_id"), F.col("n_name").alias("name"), F.array(text.resolver_key(F.col("n_name"))).alias("keys"), F.lit("secretaria").alias("role_stem"), F.lit("chamber").alias("category"), day.alias("begin"), F.lit(None).cast("date").alias("end"), F.lit(True).alias("curated"), F.col("n_nationkey").cast("long").alias("load_order"))
+    return resolution.resolve_twice(printed, members, officers).select("label", "n", "match_status", "person_id", "tiebreak")
+
+
 @query("""WITH f AS (SELECT sha256(text) AS passage, bool_and(role = 'user') AS u, bool_and(role = 'assistant') AS a, bool_and(role = 'system') AS s FROM conversations WHERE text IS NOT NULL GROUP BY 1)
 SELECT conv_id, turn, CASE WHEN CASE role WHEN 'user' THEN u WHEN 'assistant' THEN a ELSE s END THEN 'holds' ELSE 'several' END AS verdict FROM conversations JOIN f ON sha256(text) = passage""")
 def read_verdicts(spark, sf_dir):
