@@ -108,6 +108,22 @@ def test_people_and_counts(spark):
     assert deduced_from_counts(official, known, serving.union(spark.createDataFrame([(1, 14)], "day int, person int"))).count() == 0
 
 
+def test_readings_of_one_day_are_told_apart(spark):
+    import datetime as dt
+
+    from turnstone.operators.caucus import caucus_on
+
+    day = lambda n: dt.date(2020, 1, n) if n else None
+    days = spark.createDataFrame([(1, day(20))], "person int, day date")
+    lives = spark.createDataFrame([], "caucus string, since date, until date")
+    terms = spark.createDataFrame([(1, day(1), None)], "person int, since date, until date")
+    rows = [(1, day(10), "A", "confirmed", "page"), (1, day(10), "A", "unchecked", "page"), (1, day(10), None, "confirmed", "page"), (1, None, "B", "confirmed", "page")]
+    for own in (rows, rows[::-1]):
+        readings = spark.createDataFrame(own, "person int, date date, caucus string, status string, basis string").coalesce(1)
+        got = caucus_on(days, readings, lives, terms).first()
+        assert (got["caucus"], got["status"], got["observed"], got["gap"]) == ("A", "confirmed", day(10), 10)
+
+
 def test_audit_finds_foreign_text(spark):
     from turnstone.operators.placement import audited
 
