@@ -108,6 +108,21 @@ def test_people_and_counts(spark):
     assert deduced_from_counts(official, known, serving.union(spark.createDataFrame([(1, 14)], "day int, person int"))).count() == 0
 
 
+def test_boxes_are_added_in_order(spark, tmp_path):
+    from turnstone.operators.passes import scanned_pages
+
+    rows = [(page, k, w, 1.0, 1.0) for page, own in ((1, (0.1, 0.2, 0.3)), (2, (0.3, 0.2, 0.1)), (None, (0.1, 0.2, 0.3)), (3, (0.5, -9.0, 0.5)), (4, (0.0, 0.0, 0.1))) for k, w in enumerate(own)]
+    images = spark.createDataFrame(rows[::-1] + [(5, 0, 0.1, 1.0, None)], "page int, k int, w double, h double, area double").repartition(3)
+    assert {r["page"]: r["scanned"] for r in scanned_pages(images, ["page"], "w", "h", "area", order=["k"]).collect()} == {1: True, 2: False, None: True, 3: True, 4: False, 5: None}
+    # Six boxes of 0.05, three in each of two files: added one by one they are no more than 0.3.
+    line = [(7, 0.05 + 0.05, 1.0, 0.05)] * 3
+    for k in range(2):
+        spark.createDataFrame(line, "l_orderkey long, l_discount double, l_quantity double, l_tax double").coalesce(1).write.mode("append").parquet(f"{tmp_path}/lineitem.parquet")
+    one = duckdb.connect(config={"threads": 1})
+    one.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet'")
+    assert [tuple(r) for r in QUERIES["scanned_pages"](spark, str(tmp_path)).collect()] == one.execute(ORACLES["scanned_pages"]).fetchall() == [(7, False)]
+
+
 def test_readings_of_one_day_are_told_apart(spark):
     import datetime as dt
 

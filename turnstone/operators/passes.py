@@ -8,6 +8,8 @@ keep all other columns.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,10 +40,26 @@ def on_page(x0: Column, x1: Column, top: Column, bottom: Column, left: Column, u
     return (x1 > left) & (x0 < right) & (bottom > upper) & (top < lower)
 
 
-def scanned_pages(images: DataFrame, page: Sequence[str], width: str, height: str, area: str, share: float = 0.6) -> DataFrame:
-    """Pages and whether images cover more than that share of them; boxes turned inside out count nothing."""
-    covered = F.sum(F.greatest(F.lit(0.0), F.col(width)) * F.greatest(F.lit(0.0), F.col(height)))
-    return images.groupBy(*page).agg((F.coalesce(covered, F.lit(0.0)) > share * F.max(area)).alias("scanned"))
+def scanned_pages(images: DataFrame, page: Sequence[str], width: str, height: str, area: str, share: float = 0.6, order: Sequence[str] = ()) -> DataFrame:
+    """Pages and whether images cover more than that share of them; boxes turned inside out count nothing.
+
+    Sums of floats depend on the order of adding.  With ``order`` boxes count as added in it: pages whose sum is
+    so near the limit that rounding could decide are added up once more, one box after another.
+    """
+    box = F.greatest(F.lit(0.0), F.col(width)) * F.greatest(F.lit(0.0), F.col(height))
+    rows = images.select(*page, *order, box.alias("_box"), F.col(area).alias("_area"))
+    sums = rows.groupBy(*page).agg(F.coalesce(F.sum("_box"), F.lit(0.0)).alias("_sum"), (share * F.max("_area")).alias("_limit"), F.count("*").alias("_n"))
+    verdict = (F.col("_sum") > F.col("_limit")).alias("scanned")
+    if not order:
+        return sums.select(*page, verdict)
+    # No box is negative, so two orders differ by less than 2 n roundings of the sum.
+    clear = F.coalesce((F.col("_sum") == 0) | (F.abs(F.col("_sum") - F.col("_limit")) > F.col("_n") * 2.0**-51 * F.col("_sum")), F.lit(True))
+    near = sums.where(~clear).select(*[F.col(c).alias(f"_near_{k}") for k, c in enumerate(page)], "_limit")
+    own = rows.join(near, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_near_{k}")) for k, c in enumerate(page)]))
+    w = Window.partitionBy(*page).orderBy(*order)
+    added = own.withColumn("_sum", F.sum("_box").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    last = added.groupBy(*page).agg(F.max_by("_sum", F.struct(*order)).alias("_sum"), F.first("_limit").alias("_limit"))
+    return sums.where(clear).select(*page, verdict).union(last.select(*page, verdict))
 
 
 def body_sizes(chars: DataFrame, doc: str, size: str, normal: Column, most: int = 3, least: float = 0.05) -> DataFrame:
