@@ -36,6 +36,15 @@ from turnstone.llm.components import components
 BITS = 64
 
 
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half the hashes."""
+    counts = np.zeros(BITS, np.int64)
+    big = hashes.astype(">u8").view(np.uint8).reshape(-1, 8)
+    for at in range(0, len(big), 1 << 16):
+        counts += np.unpackbits(big[at : at + (1 << 16)], axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "big")
+
+
 def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # of bytes: A-Z, and the six ASCII blanks
     if not words:
@@ -44,12 +53,7 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
         grams = iter([b" ".join(words)])
     else:
         grams = map(b" ".join, zip(*(words[k:] for k in range(shingle))))
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(seed)), np.uint64)
-    counts = np.zeros(BITS, np.int64)
-    big = hashes.astype(">u8").view(np.uint8).reshape(-1, 8)
-    for at in range(0, len(big), 1 << 16):
-        counts += np.unpackbits(big[at : at + (1 << 16)], axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "big")
+    return majority(np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(seed)), np.uint64))
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:
