@@ -115,3 +115,25 @@ def test_titles_are_learned_from_settled_labels_only(spark):
     assert (got["Sra. Robles"], got["Sr. Robles"], got["Sres. Robles"]) == (("matched_senator", "m2"), ("matched_senator", "m3"), ("ambiguous", None))
     # Three passages settle no name.
     assert ask(said[1:])["Sra. Robles"] == ("ambiguous", None)
+
+
+def test_given_names_meet_by_lookup_where_they_match(spark):
+    """Given names share a lookup exactly where they match, so that namesakes need not be listed for each label."""
+    from itertools import product
+
+    from pyspark.sql import functions as F
+
+    from turnstone.functions.taxonomy import given_matches
+
+    printed, held = ["ana", "a", "a.", "a. b.", "j. m.", "ana b", "maria j", ".", "", "b a", None], ["ana", "ana belen", "belen ana", "juan manuel", "juan  manuel", "j", "maria jose", "", None]
+    both = spark.createDataFrame(list(product(printed, held)), "a string, b string")
+    got = both.select("a", "b", F.coalesce(given_matches(F.col("a"), F.col("b")), F.lit(False)), F.coalesce(F.arrays_overlap(resolution._given_asked(F.col("a")), resolution._given_held(F.col("b"))), F.lit(False))).collect()
+    assert [r for r in got if r[2] != r[3]] == [] and 10 < sum(r[2] for r in got) < 60
+
+
+def test_namesakes_are_told_apart_by_given_names(spark):
+    members = [(f"m{k}", "Robles", f"Giv{k} {'Ana' if k % 2 else 'Luis'}", None, None, D, None, k) for k in range(30)]
+    said = [f"Sr. Robles (Giv{k})" for k in range(30)] + ["Sr. Robles (Ana)", "Sr. Robles (G. A.)", "Sr. Robles", "Sr. Robles (Otto)"]
+    asked = spark.createDataFrame([(x, D, "1", None, None) for x in said], ASKED)
+    got = {r["label"]: (r["match_status"], r["person_id"]) for r in resolution.resolve(asked, spark.createDataFrame(members, MEMBER), spark.createDataFrame(OFFICERS, OFFICER)).collect()}
+    assert got == {f"Sr. Robles (Giv{k})": ("matched_senator", f"m{k}") for k in range(30)} | {x: ("ambiguous", None) for x in said[30:33]} | {said[33]: ("unmatched", None)}

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnstone.functions import labels as L
-from turnstone.functions.taxonomy import first_given, given_matches, honorific_is_feminine
+from turnstone.functions.taxonomy import first_given, given_matches, honorific_is_feminine, initials
 from turnstone.functions.text import resolver_key
 from turnstone.operators.linkage import close_names, learned_flags
 from turnstone.operators.temporal import in_window
@@ -52,8 +52,8 @@ def _rungs(name: Column, *of: tuple[int, Column]) -> Column:
     return F.concat(F.transform(F.array(name), one(1)), *[F.transform(a, one(n)) for n, a in of])
 
 
-def _lowest(df: DataFrame) -> DataFrame:
-    w = Window.partitionBy(*PROBE)
+def _lowest(df: DataFrame, by: tuple[str, ...] = tuple(PROBE)) -> DataFrame:
+    w = Window.partitionBy(*by)
     return df.withColumn("_low", F.min("rung").over(w)).where("rung = _low").drop("_low")
 
 
@@ -62,25 +62,50 @@ def _valid(grace: Column) -> Column:
     return (F.col("begin").isNull() | (F.date_sub(F.col("begin"), grace) <= day)) & (F.col("end").isNull() | (day <= F.col("end")))
 
 
+def _given_asked(given: Column) -> Column:
+    """What a printed given name is looked up by: its words, and if all are initials those as one."""
+    words = _words(F.translate(given, ".", " "))
+    short = F.forall(words, lambda t: F.length(t) == 1) & (F.size(words) > 0)
+    letters = F.when(short, F.array(F.concat(F.lit("initials "), F.array_join(words, "")))).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.concat(F.transform(words, lambda t: F.concat(F.lit("word "), t)), letters))
+
+
+def _given_held(given: Column) -> Column:
+    """What a member's given names answer to: their words, and all beginnings of their initials."""
+    words = _words(given)
+    heads = F.transform(words, lambda _, k: F.concat(F.lit("initials "), F.array_join(initials(F.slice(words, F.lit(1), k + 1)), "")))
+    return F.array_distinct(F.concat(F.transform(words, lambda t: F.concat(F.lit("word "), t)), heads))
+
+
 def member_candidates(probes: DataFrame, mandates: DataFrame) -> DataFrame:
-    """Members a label can mean: the first rung that has any (exact, prefix either way, one suffix, one close name)."""
+    """Members a label can mean: the first rung that has any (exact, prefix either way, one suffix, one close name).
+
+    A name is looked up once for all labels that ask for it on a day.  Labels that print a given name too are joined
+    with the members of that name by what both given names share: nobody's namesakes are listed for each label.
+    """
     m = mandates.withColumn("surname_key", resolver_key(F.col("surname"))).withColumn("given_key", resolver_key(F.col("given")))
-    p = probes.where("shape IN ('holder', 'given', 'surname') AND key <> ''")
+    p = probes.where("shape IN ('holder', 'given', 'surname') AND key <> ''").withColumn("_q", F.struct("key", "day", "grace", (F.col("shape") == "given").alias("alone")))
+    q = p.select("_q").distinct().select("_q", "_q.*")
     by_name = m.select("*", F.inline(_rungs(F.col("surname_key"), (2, _heads(F.col("surname_key"))), (3, _tails(F.col("surname_key"))))))
-    asked = p.select("*", F.inline(_rungs(F.col("key"), (2, _heads(F.col("key"))))).alias("lookup", "asked"))
+    asked = q.select("*", F.inline(_rungs(F.col("key"), (2, _heads(F.col("key"))))).alias("lookup", "asked"))
     # The beginning of a label answers to whole surnames only.
     hit = asked.join(by_name, "lookup").where(_valid(F.col("grace")) & ((F.col("asked") == 1) | (F.col("rung") == 1)))
-    hit = _lowest(hit.withColumn("rung", F.greatest("rung", "asked")).drop("asked", "lookup"))
-    w = Window.partitionBy(*PROBE)
-    hit = hit.withColumn("_people", F.size(F.collect_set("person_id").over(w))).where("rung < 3 OR _people = 1").drop("_people")
-    left = p.where("shape <> 'given'").join(hit.select(*PROBE).distinct(), PROBE, "left_anti")
+    hit = _lowest(hit.withColumn("rung", F.greatest("rung", "asked")).drop("asked", "lookup"), ("_q",))
+    w = Window.partitionBy("_q")
+    hit = hit.withColumn("_one", F.min("person_id").over(w) == F.max("person_id").over(w)).where("rung < 3 OR _one").drop("_one")
+    left = q.where("NOT alone").join(hit.select("_q").distinct(), "_q", "left_anti")
     near = close_names(left.select("key"), m.select("surname_key"), "key", "surname_key")
     close = left.join(near, "key").join(m, "surname_key").where(_valid(F.col("grace")))
-    close = close.withColumn("_names", F.size(F.collect_set("surname_key").over(w))).where("_names = 1").drop("_names").withColumn("rung", F.lit(4))
-    every = hit.unionByName(close)
-    every = every.withColumn("_n", F.count("*").over(w)).where(F.col("given_asked").isNull() | (F.col("_n") == 1) | given_matches(F.col("given_asked"), F.col("given_key"))).drop("_n")
-    last = F.row_number().over(Window.partitionBy(*PROBE, "person_id").orderBy(F.desc("load_order")))
-    return every.withColumn("_k", last).where("_k = 1").drop("_k")
+    close = close.withColumn("_names", F.min("surname_key").over(w) == F.max("surname_key").over(w)).where("_names").drop("_names").withColumn("rung", F.lit(4))
+    every = hit.unionByName(close).drop("key", "day", "grace", "alone")
+    every = cut(every.withColumn("_n", F.count("*").over(w)))
+    last = lambda df, *by: df.withColumn("_k", F.row_number().over(Window.partitionBy(*by, "person_id").orderBy(F.desc("load_order")))).where("_k = 1").drop("_k")
+    whole = p.where("given_asked IS NULL").join(last(every, "_q"), "_q")
+    sole = p.where("given_asked IS NOT NULL").join(every.where("_n = 1"), "_q")
+    said = p.select("*", F.explode(_given_asked(F.col("given_asked"))).alias("_by"))
+    held = every.where("_n > 1").select("*", F.explode(_given_held(F.col("given_key"))).alias("_by"))
+    named = last(said.join(held, ["_q", "_by"]).where(given_matches(F.col("given_asked"), F.col("given_key"))).drop("_by"), *PROBE)
+    return whole.unionByName(sole).unionByName(named).drop("_q", "_n")
 
 
 def settle(candidates: DataFrame, gender: DataFrame | None) -> DataFrame:
